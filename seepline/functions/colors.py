@@ -15,19 +15,22 @@ def rgb_hex(r: Column, g: Column, b: Column) -> Column:
     return F.concat(F.lit("#"), two(r), two(g), two(b))
 
 
+def outside_turn(sixth: Column) -> Column:
+    return F.when((sixth < 0) | (sixth >= 6), F.lit(1.0)).otherwise(F.lit(0.0))
+
+
+def hsv_channel(sixth: Column, outside: Column, chroma: Column, v: Column, channel: str) -> Column:
+    """One channel in 0..1, from the hue in sixths of a turn.
+
+    A channel falls from v by the chroma times the distance of the hue from the channel's
+    own range, which is cut to 0..1; one expression serves all six sectors. Outside one
+    turn (``outside`` is 1) only v - chroma is left.
+    """
+    k = F.pmod(sixth + F.lit({"r": 5.0, "g": 3.0, "b": 1.0}[channel]), F.lit(6.0))
+    return v - chroma * F.greatest(outside, F.least(k, F.lit(4.0) - k, F.lit(1.0)))
+
+
 def hsv_to_rgb(h: Column, s: Column, v: Column) -> Column:
-    """struct(r, g, b) in 0..1; the hue is in radians. Past six sectors only v - c is left."""
-    hue = h / F.lit(math.pi / 3)
-    chroma = v * s
-    x = chroma * (F.lit(1.0) - F.abs(F.pmod(hue, F.lit(2.0)) - 1))
-    sector = F.floor(hue)
-    rest = v - chroma
-
-    def channel(full: tuple, part: tuple) -> Column:
-        return F.when(sector.isin(*full), chroma).when(sector.isin(*part), x).otherwise(F.lit(0.0)) + rest
-
-    return F.struct(
-        channel((0, 5), (1, 4)).alias("r"),
-        channel((1, 2), (0, 3)).alias("g"),
-        channel((3, 4), (2, 5)).alias("b"),
-    )
+    """struct(r, g, b) in 0..1; the hue is in radians."""
+    sixth = h / F.lit(math.pi / 3)
+    return F.struct(*[hsv_channel(sixth, outside_turn(sixth), v * s, v, c).alias(c) for c in "rgb"])

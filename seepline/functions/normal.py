@@ -1,4 +1,4 @@
-"""Standard normal quantile as a column expression.
+"""Standard normal quantile from built-in expressions.
 
 Wichura, M. J. (1988), Algorithm AS 241: The percentage points of the normal
 distribution, Applied Statistics 37, 477-484 (routine PPND16).
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rational approximations, constant term first
@@ -46,14 +46,21 @@ def _ratio(pair, x: Column) -> Column:
     return _poly(pair[0], x) / _poly(pair[1], x)
 
 
-def normal_quantile(p: Column) -> Column:
-    """z with Phi(z) = p; NULL outside the open interval (0, 1)."""
-    q = p - 0.5
-    r = F.sqrt(-F.ln(F.least(p, F.lit(1.0) - p)))
+def normal_quantile(df: DataFrame, p: str, name: str) -> DataFrame:
+    """Add z with Phi(z) = p; NULL outside the open interval (0, 1).
+
+    The argument of the rational functions is a projection of its own. Written as one
+    expression it would be repeated in each of their terms, and the generated method would
+    be too long for the JVM to compile. Without NULLs inside the terms stay short.
+    """
+    at = F.col(p)
+    inside = (at > 0) & (at < 1)
+    q, r = F.col("_q"), F.col("_r")
+    reach = F.sqrt(-F.ln(F.least(at, F.lit(1.0) - at)))
     tail = F.when(r <= 5.0, _ratio(MIDDLE, r - 1.6)).otherwise(_ratio(TAIL, r - 5.0))
-    return F.when(
-        (p > 0) & (p < 1),
-        F.when(F.abs(q) <= 0.425, q * _ratio(CENTRAL, F.lit(0.180625) - q * q))
-        .when(q < 0, -tail)
-        .otherwise(tail),
+    return (
+        df.withColumns({"_q": F.coalesce(at - 0.5, F.lit(0.0)), "_r": F.coalesce(reach, F.lit(0.0))})
+        .withColumn("_z", F.when(F.abs(q) <= 0.425, q * _ratio(CENTRAL, F.lit(0.180625) - q * q)).otherwise(F.signum(q) * tail))
+        .withColumn(name, F.when(inside, F.col("_z")))
+        .drop("_q", "_r", "_z")
     )

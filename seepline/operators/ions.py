@@ -178,13 +178,19 @@ def piper_color(df: DataFrame) -> DataFrame:
         "an": one - 3 * F.least("an_hco3", "an_so4", "an_cl"),
         "d": F.abs(dx) / F.lit(_X0) + F.abs(dy) / F.lit(_H),
     }
-    saturated = df.withColumns({f"sat_{f}": F.sqrt(F.greatest(s, F.lit(0.0))) for f, s in surface.items()})
-    painted = saturated.withColumns(
-        {f"_rgb_{f}": colors.hsv_to_rgb(F.col(f"hue_{f}"), F.col(f"sat_{f}"), one) for f in surface}
+    turn = {f"_sixth_{f}": F.coalesce(F.col(f"hue_{f}") / F.lit(math.pi / 3), F.lit(0.0)) for f in surface}
+    shade = {f"sat_{f}": F.sqrt(F.greatest(x, F.lit(0.0))) for f, x in surface.items()}
+    painted = df.withColumns({**shade, **turn}).withColumns(
+        {f"_out_{f}": colors.outside_turn(F.col(f"_sixth_{f}")) for f in surface}
     )
-    return painted.withColumns(
-        {f"{f}_{c}": F.col(f"_rgb_{f}.{c}") for f in surface for c in "rgb"}
-    ).drop(*[f"_rgb_{f}" for f in surface])
+    for f in surface:
+        painted = painted.withColumns(
+            {
+                f"{f}_{x}": colors.hsv_channel(F.col(f"_sixth_{f}"), F.col(f"_out_{f}"), F.col(f"sat_{f}"), one, x)
+                for x in "rgb"
+            }
+        )
+    return painted.drop(*turn, *[f"_out_{f}" for f in surface])
 
 
 def piper(df: DataFrame, color: bool = False) -> DataFrame:

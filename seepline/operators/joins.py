@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seepline import schemas, vocab
-from seepline.functions import values
+from seepline.functions import places, values
 from seepline.operators import projection
 from seepline.operators.reshape import one_per_key
 
@@ -161,6 +161,24 @@ def sample_station_lookup(lab: DataFrame, matches: DataFrame) -> DataFrame:
     return attach(lab, listed, "Sample Number", "Sample Number", {"station": "Station ID"})
 
 
+def match_stations(
+    lab: DataFrame, description: str = "Sample Description", column: str = "Station ID", corrected: bool = False
+) -> DataFrame:
+    """Station of each row by the ordered description rules.
+
+    All results of a sample share its description, so the patterns run once per distinct
+    description and the answers are joined back.
+    """
+    text = F.col(f"`{description}`")
+    answers = lab.select(text.alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    answers = answers.withColumn("_station", places.match_station_rules(F.col("_key"), corrected=corrected))
+    return (
+        lab.join(answers, lab[f"`{description}`"] == answers["_key"], "left")
+        .withColumn(column, F.col("_station"))
+        .drop("_key", "_station")
+    )
+
+
 def project_code(rows: DataFrame, stations: DataFrame, location: str = "monitoringlocationid") -> DataFrame:
     """Project of the network a station belongs to; NULL without a match."""
     coded = stations.select(

@@ -109,20 +109,28 @@ def order_groups(
     return marked.drop("_bounds"), OrderedGroups(keys, split=True)
 
 
-def repeat_rows(df: DataFrame, count: str, index: str, largest: int, spread: list[str], chunk: int = 65_536) -> DataFrame:
-    """Each row ``count`` times, numbered from 1 in ``index``.
+def repeat_rows(
+    df: DataFrame, count: str, index: str, total: int, spread: list[str], chunk: int = 50_000
+) -> DataFrame:
+    """Each row ``count`` times, numbered from 1 in ``index``; ``total`` rows in all.
 
-    A row that stands for more than ``chunk`` rows is first cut into chunks which are
-    dealt out to all tasks, so no task writes out a large count alone.
+    Few rows can stand for many, so bytes say little about the work ahead. Counts are cut
+    into chunks, and chunks are dealt out to a number of tasks taken from the total.
     """
-    if largest <= chunk:
-        return df.withColumn(index, F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))))
+    context = df.sparkSession.sparkContext
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(math.ceil(total / (2 * chunk)), max(shuffles, 4 * context.defaultParallelism)))
     size = F.lit(chunk).cast("long")
-    last = F.floor((F.col(count) - 1) / size)
-    cut = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition(*spread, "_chunk")
-    return cut.withColumn(
-        index,
-        F.explode(
-            F.sequence(F.col("_chunk") * size + 1, F.least(F.col(count), (F.col("_chunk") + 1) * size))
-        ),
-    ).drop("_chunk")
+    one = F.lit(1).cast("long")
+    last = F.floor((F.col(count) - one) / size)
+    cut = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return (
+        cut.repartition(tasks, *spread, "_chunk")
+        .withColumn(
+            index,
+            F.explode(
+                F.sequence(F.col("_chunk") * size + one, F.least(F.col(count), (F.col("_chunk") + one) * size))
+            ),
+        )
+        .drop("_chunk")
+    )

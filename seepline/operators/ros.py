@@ -60,7 +60,7 @@ class _Tally:
     groups: OrderedGroups
     result: str
     censored: str
-    most_equal: int
+    observations: int
     largest: int
     limit: int
 
@@ -69,7 +69,7 @@ class _Tally:
         return self.groups.keys
 
     def expand(self, df: DataFrame, index: str) -> DataFrame:
-        return repeat_rows(df, "_n", index, self.most_equal, self.keys + ["_v", "_c"])
+        return repeat_rows(df, "_n", index, self.observations, self.keys + ["_v", "_c"])
 
     def named(self, df: DataFrame, *columns) -> DataFrame:
         return df.select(
@@ -87,11 +87,11 @@ def _tally(df: DataFrame, keys: list[str], result: str, censored: str, limit: in
     )
     sizes = (
         counted.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("d"), F.max("_n").alias("m"), F.sum("_n").alias("t"))
-        .agg(F.max("d"), F.max("m"), F.max("t"))
+        .agg(F.count(F.lit(1)).alias("d"), F.sum("_n").alias("t"))
+        .agg(F.max("d"), F.max("t"), F.sum("t"))
         .first()
     )
-    distinct, equal, total = (x or 0 for x in sizes)
+    distinct, largest, observations = (x or 0 for x in sizes)
     rows, groups = order_groups(counted, keys, "_v", limit, largest=distinct)
 
     c, n, v = F.col("_c"), F.col("_n"), F.col("_v")
@@ -120,7 +120,7 @@ def _tally(df: DataFrame, keys: list[str], result: str, censored: str, limit: in
         "det_limit_index",
         F.when(F.col("n_cens") == 0, 0).otherwise(F.col("_limits") + lowest_is_value - 1).cast("long"),
     )
-    return _Tally(rows, groups, result, censored, equal, total, limit)
+    return _Tally(rows, groups, result, censored, observations, largest, limit)
 
 
 def _kept() -> Column:
@@ -319,12 +319,13 @@ def _transforms(transform):
 def _fit(t: _Tally, uncensored_rows: DataFrame, forward) -> DataFrame:
     """Least squares of the transformed value on z, per group. A value the transform does
     not take leaves the group without a fit."""
-    y, z = forward(F.col("_v")), normal_quantile(F.col("plot_pos"))
-    points = uncensored_rows.select(*t.keys, "n_cens", y.alias("_y"), z.alias("_z"))
+    points = normal_quantile(
+        uncensored_rows.select(*t.keys, "n_cens", "plot_pos", forward(F.col("_v")).alias("_y")), "plot_pos", "zprelim"
+    )
     complete = F.count(F.lit(1)) == F.count("_y")
     return points.groupBy(*t.keys).agg(
-        F.when(complete, F.regr_slope("_y", "_z")).alias("_slope"),
-        F.when(complete, F.regr_intercept("_y", "_z")).alias("_intercept"),
+        F.when(complete, F.regr_slope("_y", "zprelim")).alias("_slope"),
+        F.when(complete, F.regr_intercept("_y", "zprelim")).alias("_intercept"),
         F.max("n_cens").alias("_n_cens"),
     )
 
@@ -341,7 +342,7 @@ def _estimated(t: _Tally, ranked: DataFrame, transform) -> DataFrame:
     joined = join_on(
         censored.withColumn("_slice", F.floor(F.col("_place") / _SALT_ROWS)), fit, t.keys + ["_slice"]
     )
-    return joined.withColumn("zprelim", normal_quantile(F.col("plot_pos"))).withColumn(
+    return normal_quantile(joined, "plot_pos", "zprelim").withColumn(
         "estimated", back(F.col("_slope") * F.col("zprelim") + F.col("_intercept"))
     )
 
@@ -361,8 +362,8 @@ def ros_estimate(
     usable = (F.col("n_cens") > 0) & _valid(max_fraction, min_uncensored)
     ranked = _ranked(t, t.rows.where(usable & _kept()))
     modelled = _estimated(t, ranked, transform)
-    seen = ranked.where(~F.col("_c")).withColumns(
-        {"zprelim": normal_quantile(F.col("plot_pos")), "estimated": F.lit(None).cast("double")}
+    seen = normal_quantile(ranked.where(~F.col("_c")), "plot_pos", "zprelim").withColumn(
+        "estimated", F.lit(None).cast("double")
     )
     columns = ("plot_pos", "zprelim", "estimated")
     return t.named(seen, *columns, F.col("_v").alias("final")).unionByName(

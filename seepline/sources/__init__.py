@@ -1,0 +1 @@
+"""Landed files and tables in, uploads and map layers out."""

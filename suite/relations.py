@@ -8,7 +8,7 @@ from seepline import schemas, vocab
 from seepline.functions import values
 from seepline.operators import joins, projection
 from suite import frames, sql
-from suite.base import query
+from suite.base import query, read_table
 
 c = F.col
 
@@ -75,7 +75,7 @@ _FRESH = "SELECT sample_number AS activityid, loc AS monitoringlocationid FROM (
 
 
 def lab_rows(t):
-    orders = t.spark.read.parquet(f"{t.folder}/orders.parquet")
+    orders = read_table(t.spark, t.folder, "orders")
     return orders.select(
         F.concat(F.lit("A"), c("o_orderkey").cast("string")).alias("activityid"),
         (1000 + c("o_custkey") % 60).cast("string").alias("monitoringlocationid"),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from seepline import vocab
 from seepline.functions import colors, places, species, values
 from seepline.functions.normal import normal_quantile
+from seepline.operators import joins
 from suite import sql
-from suite.base import query
+from suite.base import query, read_table
 
 c = F.col
 
@@ -248,7 +249,7 @@ def _(t):
 )
 def _(t):
     unit = F.element_at(F.array(*[F.lit(u) for u in ("mi", "km", "m", "ft", "yd")]), (c("l_partkey") % 5 + 1).cast("int"))
-    rows = t.spark.read.parquet(f"{t.folder}/lineitem.parquet").select(c("l_quantity").alias("distance"), unit.alias("unit"))
+    rows = read_table(t.spark, t.folder, "lineitem").select(c("l_quantity").alias("distance"), unit.alias("unit"))
     return rows.withColumn("miles", values.distance_to_miles(c("distance"), c("unit")))
 
 
@@ -274,15 +275,22 @@ def _(t):
 
 @query("normal_quantile", f"SELECT sampleid, p, round({sql.quantile('p')}, 9) AS z FROM (SELECT sampleid, (Ca-20.5::DOUBLE)/50 AS p FROM wq_majors)")
 def _(t):
-    return t.majors.select("sampleid", ((c("Ca") - 20.5) / 50.0).alias("p")).withColumn("z", F.round(normal_quantile(c("p")), 9))
+    rows = t.majors.select("sampleid", ((c("Ca") - 20.5) / 50.0).alias("p"))
+    return normal_quantile(rows, "p", "z").withColumn("z", F.round("z", 9))
 
 
-@query(
-    "match_station_rules",
-    f"""WITH d AS (SELECT DISTINCT description FROM wq_state_lab), m AS (SELECT d.description, arg_max(r.station, r.ord) AS station FROM d, {sql.rules_table()} WHERE regexp_matches(d.description, r.pattern) GROUP BY 1),
+_RULES = f"""WITH d AS (SELECT DISTINCT description FROM wq_state_lab), m AS (SELECT d.description, arg_max(r.station, r.ord) AS station FROM d, {sql.rules_table()} WHERE regexp_matches(d.description, r.pattern) GROUP BY 1),
     k AS (SELECT d.description, arg_max(r.station, r.ord) AS station FROM d, {sql.rules_table(True)} WHERE regexp_matches(d.description, r.pattern) GROUP BY 1)
-    SELECT s.sample_number, s.description, m.station, k.station AS corrected FROM wq_state_lab s LEFT JOIN m ON s.description=m.description LEFT JOIN k ON s.description=k.description""",
-)
+    SELECT s.sample_number, s.description, m.station, k.station AS corrected FROM wq_state_lab s LEFT JOIN m ON s.description=m.description LEFT JOIN k ON s.description=k.description"""
+
+
+@query("match_station_rules", _RULES)
+def _(t):
+    once = joins.match_stations(t.state_lab.select("sample_number", "description"), "description", "station")
+    return joins.match_stations(once, "description", "corrected", corrected=True)
+
+
+@query("match_station_rules_by_row", _RULES)
 def _(t):
     return t.state_lab.select(
         "sample_number", "description",

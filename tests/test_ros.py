@@ -191,13 +191,11 @@ def test_norm_plot_pos(spark, frame):
 
 
 def test_normal_quantile(spark):
-    from pyspark.sql import functions as F
-
     from seepline.functions.normal import normal_quantile
 
     ps = [1e-300, 1e-12, 1e-5, 0.01, 0.074, 0.08, 0.3, 0.5, 0.77, 0.93, 0.999999]
     df = spark.createDataFrame([(p,) for p in ps + [0.0, 1.0, -1.0]], "p double")
-    got = [r[0] for r in df.select(normal_quantile(F.col("p"))).collect()]
+    got = [r["z"] for r in normal_quantile(df, "p", "z").collect()]
     assert got[-3:] == [None, None, None]
     for p, z in zip(ps, got):
         assert z == pytest.approx(PHI_INV(p), rel=1e-12, abs=1e-12)
