@@ -16,6 +16,10 @@ from seepline import schemas, vocab
 from seepline.functions import places, values
 from seepline.operators import projection
 from seepline.operators.reshape import one_per_key
+from seepline.session import checkpointed
+
+
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _pick(df: DataFrame, names: list[str]) -> list[Column]:
@@ -91,9 +95,13 @@ def published_results(df: DataFrame) -> DataFrame:
 
 
 def new_activities(lab: DataFrame, activities: DataFrame) -> DataFrame:
-    """One row for each activity the database lacks."""
-    fresh = to_upload(lab, activities, "activityid")
-    return one_per_key(fresh.select(*_pick(fresh, schemas.FIELDS["Activity"])), ["activityid"])
+    """One row for each activity the database lacks.
+
+    The laboratory rows are reduced to one per activity before the join, so an activity
+    with many results is one row there.
+    """
+    distinct = one_per_key(lab.select(*_pick(lab, schemas.FIELDS["Activity"])), ["activityid"])
+    return to_upload(distinct, activities, "activityid")
 
 
 def new_results(lab: DataFrame, results: DataFrame) -> DataFrame:
@@ -118,6 +126,14 @@ def cross_select(
     return target.join(chosen, target[target_key] == chosen["_key"], "left_semi")
 
 
+def broadcast_if_small(fixed: DataFrame) -> DataFrame:
+    """Mark a fixed (checkpointed) table of texts for broadcast if it measures no more than
+    ``BROADCAST_BYTES``; leave the choice to the optimizer beyond that."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in fixed.columns), F.lit(64))
+    size = fixed.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed
+
+
 # --- dimension tables --------------------------------------------------------
 
 
@@ -167,11 +183,13 @@ def match_stations(
     """Station of each row by the ordered description rules.
 
     All results of a sample share its description, so the patterns run once per distinct
-    description and the answers are joined back.
+    description, over a pass that reads no other column, and the answers are joined back:
+    by broadcast when their measured size allows it, else by a shuffled join.
     """
-    text = F.col(f"`{description}`")
-    answers = lab.select(text.alias("_key")).where(F.col("_key").isNotNull()).distinct()
-    answers = answers.withColumn("_station", places.match_station_rules(F.col("_key"), corrected=corrected))
+    answers = _keys(lab, f"`{description}`").withColumn(
+        "_station", places.match_station_rules(F.col("_key"), corrected=corrected)
+    )
+    answers = broadcast_if_small(checkpointed(answers))
     return (
         lab.join(answers, lab[f"`{description}`"] == answers["_key"], "left")
         .withColumn(column, F.col("_station"))
