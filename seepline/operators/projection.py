@@ -49,7 +49,10 @@ def harmonize_lab_headers(new: DataFrame, old: DataFrame) -> DataFrame:
 
 
 def drop_if_present(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    return df.drop(*names)
+    """Leave out the named columns, as far as present. Case counts: the portal column
+    ``SampleTime`` goes, the canonical ``sampletime`` stays."""
+    unwanted = set(names)
+    return df.select(*[quoted(c) for c in df.columns if c not in unwanted])
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:

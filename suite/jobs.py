@@ -17,10 +17,9 @@ _PORTAL = f"""portal AS (SELECT act, org, loc, chr, cond, qual, act_time, {sql.d
  CASE WHEN lower(rtrim(unit))='ug/l' THEN ({sql.number('val')})/1000 ELSE {sql.number('val')} END AS val,
  CASE WHEN lower(rtrim(unit)) IN ('ug/l','mg/l') THEN 'mg/l' ELSE rtrim(unit) END AS unit FROM wq_portal),
  portal2 AS (SELECT *, {sql.nutrient('chr', 'unit')} AS k FROM portal)"""
-_CLEAN = f"""SELECT org AS "OrganizationIdentifier", replace(loc,'_WQX-','-') AS monitoringlocationid, act AS sampleid, sampledate, {sql.NUTRIENT_NAME.format(r='k', n='chr')} AS characteristicname,
+_CLEAN = f"""SELECT org AS "OrganizationIdentifier", replace(loc,'_WQX-','-') AS monitoringlocationid, act AS sampleid, sampledate, act_time AS sampletime, {sql.NUTRIENT_NAME.format(r='k', n='chr')} AS characteristicname,
  val AS resultvalue, CASE WHEN k IS NOT NULL THEN 'mg/l' ELSE unit END AS resultunit, cond AS resultdetectioncondition, lim AS detecquantlimitmeasure, qual AS resultqualifier,
  {sql.NUTRIENT_FORM.format(r='k')} AS methodspeciation FROM portal2"""
-# the start time goes by the name of a column on the drop list, differing in case only
 query("clean_results", f"WITH {_PORTAL} {_CLEAN}")(lambda t: portal.clean_results(frames.portal_results(t)))
 query("clean_stations", f"""SELECT locationid, locationname, locationtype, huc8, latitude, longitude, verticalmeasure, aquifername FROM (
  SELECT *, row_number() OVER (PARTITION BY locationid ORDER BY locationname, locationtype NULLS LAST, huc8, latitude, longitude, verticalmeasure NULLS LAST) AS rn FROM (
