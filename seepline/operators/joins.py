@@ -1,8 +1,8 @@
 """Joins, membership and lookups.
 
-No join carries a broadcast hint. A side is broadcast only when its measured size is
-below ``spark.sql.autoBroadcastJoinThreshold``, by statistics or by adaptive execution;
-beyond that the join is shuffled, and adaptive execution splits hot keys on the row side.
+A side is broadcast only when its size is below ``spark.sql.autoBroadcastJoinThreshold``,
+by statistics or by adaptive execution, or when it was written out and measured first
+(``broadcast_if_small``); beyond that the join is shuffled, and adaptive execution splits hot keys on the row side.
 Where a join only asks whether a key occurs, the asked side is reduced to its distinct
 keys before the shuffle, so a key that is hot there arrives as one row.
 """
