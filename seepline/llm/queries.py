@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seepline.llm import decontaminate, linededup, packing, simhash, toxicity
+from seepline.llm import decontaminate, linededup, packing, pii, quality, simhash, suffixes, toxicity
 from seepline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,33 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.without_repeats(read(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query("op4_pii")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(read(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[pii.count(k).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    counts = ["word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return quality.judge(read(spark, folder, "documents")).select("doc_id", F.col("n_words").cast("long").alias("n_words"), *counts)
+
+
 @query("op7_simhash")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, folder, "documents"))
