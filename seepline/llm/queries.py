@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seepline.llm import decontaminate, linededup, packing, pii, quality, simhash, suffixes, toxicity
+from seepline.llm import decontaminate, html, licences, linededup, packing, pii, quality, simhash, suffixes, toxicity
 from seepline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,12 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(read(spark, folder, "documents")).select("doc_id", F.col("n_words").cast("long").alias("n_words"), *counts)
 
 
+@query("op6_licences")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 @query("op7_simhash")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, folder, "documents"))
@@ -101,6 +107,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
 
 
+@query("op9_html")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(read(spark, folder, "pages"), html.train())
+
+
 @query("op10_decontamination")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
