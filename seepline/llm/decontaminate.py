@@ -16,6 +16,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -218,9 +219,10 @@ def find(block: Block, documents: list[str]) -> list[tuple[int, int, int, int, i
     return [(d, i, s, e, n) for (d, i), (n, s, e) in sorted(best.items())]
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS):
+def blocks(benchmark: DataFrame, limit: int | None = None):
     """The passages in runs of at most ``limit`` characters (or a single longer one). They
     reach the driver one block at a time; rows without text or id are no passages."""
+    limit = limit or BLOCK_CHARS
     rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     held, size = [], 0
     for r in rows.orderBy("item_id", "text").toLocalIterator():
@@ -266,8 +268,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_
 
 
 def _holds(sent, q: int, rate: float):
-    import pandas as pd
-
     state: dict = {}
 
     def holds(text: pd.Series) -> pd.Series:

@@ -1,7 +1,8 @@
 r"""Personal data by pattern, checksum and context (DataFrame operations only).
 
 Patterns propose spans, validators confirm them (part ranges, digit counts, Luhn for cards,
-mod 97 for account numbers), and words near a span raise or lower its score. Spans of the
+mod 97 for account numbers), words around a span raise its
+score and others before it lower it. Spans of the
 base kinds are kept whatever their score; those of the added kinds from ``THRESHOLD`` on.
 
 Positions come from marks: every match is wrapped in ``\x01`` (a ``\x01`` of the text counts
@@ -146,7 +147,7 @@ def scored(kind: Kind, order: int, found: Column) -> Column:
 
     def span(s: Column) -> Column:
         around = F.concat(s["before"], F.lit(" "), s["after"])
-        score = F.lit(kind.score) + F.when(_any(around, kind.near), 0.25).otherwise(0.0) - F.when(_any(around, kind.far), 0.25).otherwise(0.0)
+        score = F.lit(kind.score) + F.when(_any(around, kind.near), 0.25).otherwise(0.0) - F.when(_any(s["before"], kind.far), 0.25).otherwise(0.0)
         return F.struct(
             s["start"].alias("start"), F.lit(order).alias("order"), F.lit(kind.name).alias("kind"), s["end"].alias("end"), s["value"].alias("value"),
             F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("score"), F.lit(kind.base).alias("base"),

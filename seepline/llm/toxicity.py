@@ -17,6 +17,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from seepline.session import checkpointed
 MAX_POSITIVES = 2_000
 MAX_UNLABELLED = 6_000
 FEATURES = 512
+#: a feature must be more frequent among positives by so many standard errors
+LEAST_Z = 4.0
 AFFIXES = range(3, 8)
 _WORDS = re.compile(r"[^\W\d_]+")
 _CACHED_WORDS = 300_000
@@ -156,7 +159,7 @@ def train(
     rate_p, rate_u = (F.col("p") + 0.5) / (size["p"] + 1), (F.col("u") + 0.5) / (size["u"] + 1)
     pooled = (F.col("p") + F.col("u") + 1) / (size["p"] + size["u"] + 2)
     z = (rate_p - rate_u) / F.sqrt(pooled * (1 - pooled) * (1 / size["p"] + 1 / size["u"]))
-    best = counts.where("feature <> '' AND p + u >= 3").select("feature", z.alias("z")).orderBy(F.desc("z"), "feature").limit(features).collect()
+    best = counts.where("feature <> '' AND p + u >= 3").select("feature", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(features).collect()
     vocabulary = {r["feature"]: i for i, r in enumerate(best)}
     if not vocabulary:
         return Model({}, np.zeros(0), -60.0)
@@ -197,8 +200,6 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
 
 
 def _keeper(model: Model, threshold: float):
-    import pandas as pd
-
     state: dict = {}
 
     def keep(text: pd.Series) -> pd.Series:
