@@ -54,11 +54,17 @@ def portal_bbox(stations: DataFrame, west: float, south: float, east: float, nor
 
 
 def portal_radius(stations: DataFrame, distance: float, unit: str, lat: float, lon: float) -> DataFrame:
-    """Stations within a great-circle distance; latitude bounds reach the scan first."""
+    """Stations within a great-circle distance; bounds of latitude, and of longitude where
+    the circle holds neither a pole nor the date line, reach the scan first."""
     miles = distance * vocab.MILES_PER_UNIT[unit]
     reach = math.degrees(miles / vocab.EARTH_RADIUS_MILES) * 1.000001
     here = values.haversine_miles(F.col("latitude"), F.col("longitude"), F.lit(float(lat)), F.lit(float(lon)))
-    return stations.where(F.col("latitude").between(lat - reach, lat + reach)).where(here <= F.lit(miles))
+    rows = stations.where(F.col("latitude").between(lat - reach, lat + reach))
+    if abs(lat) + reach < 90:
+        side = math.degrees(math.asin(math.sin(math.radians(reach)) / math.cos(math.radians(lat)))) * 1.000001
+        if -180 <= lon - side and lon + side <= 180:
+            rows = rows.where(F.col("longitude").between(lon - side, lon + side))
+    return rows.where(here <= F.lit(miles))
 
 
 def portal_county(stations: DataFrame, state: str, county: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Joins, membership and lookups.
 
-A side is broadcast only when its size is below ``spark.sql.autoBroadcastJoinThreshold``,
-by statistics or by adaptive execution, or when it was written out and measured first
-(``broadcast_if_small``); beyond that the join is shuffled, and adaptive execution splits hot keys on the row side.
+A side is broadcast only when its size is below ``spark.sql.autoBroadcastJoinThreshold``, by
+statistics or by adaptive execution; beyond that the join is shuffled, and adaptive execution
+splits hot keys on the row side.
 Where a join only asks whether a key occurs, the asked side is reduced to its distinct
 keys before the shuffle, so a key that is hot there arrives as one row.
 """
@@ -16,11 +16,6 @@ from seepline import schemas, vocab
 from seepline.functions import places, values
 from seepline.operators import projection
 from seepline.operators.reshape import one_per_key
-from seepline.session import checkpointed
-
-
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def _pick(df: DataFrame, names: list[str]) -> list[Column]:
     """Columns in the given order; a column the table lacks is NULL of its type."""
@@ -126,26 +121,22 @@ def cross_select(
     return target.join(chosen, target[target_key] == chosen["_key"], "left_semi")
 
 
-def broadcast_if_small(fixed: DataFrame) -> DataFrame:
-    """Mark a fixed (checkpointed) table of texts for broadcast if it measures no more than
-    ``BROADCAST_BYTES``; leave the choice to the optimizer beyond that."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in fixed.columns), F.lit(64))
-    size = fixed.agg(F.sum(width.cast("long"))).first()[0] or 0
-    return F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed
-
-
 # --- dimension tables --------------------------------------------------------
 
 
-def attach(rows: DataFrame, dimension: DataFrame, row_key: str, dim_key: str, columns: dict[str, str]) -> DataFrame:
+def attach(
+    rows: DataFrame, dimension: DataFrame, row_key: str, dim_key: str, columns: dict[str, str], order: str | None = None
+) -> DataFrame:
     """Left join one row per key of ``dimension``; ``columns`` maps its names to new ones.
 
-    When a key repeats in the dimension, the greatest row counts.
+    When a key repeats in the dimension, the last row by ``order`` counts, or without such a
+    column the greatest, where a value is greater than NULL.
     """
+    listed = [F.col(order).alias("_order")] if order else []
     dim = dimension.select(
-        F.col(dim_key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns]
+        F.col(dim_key).alias("_key"), *listed, *[F.col(c).alias(f"_{c}") for c in columns]
     ).where(F.col("_key").isNotNull())
-    dim = one_per_key(dim, ["_key"], last=True)
+    dim = one_per_key(dim, ["_key"], last=True).drop("_order")
     return (
         rows.join(dim, rows[row_key] == dim["_key"], "left")
         .withColumns({new: F.col(f"_{old}") for old, new in columns.items()})
@@ -183,13 +174,11 @@ def match_stations(
     """Station of each row by the ordered description rules.
 
     All results of a sample share its description, so the patterns run once per distinct
-    description, over a pass that reads no other column, and the answers are joined back:
-    by broadcast when their measured size allows it, else by a shuffled join.
+    description, over a pass that reads no other column, and the answers are joined back.
     """
     answers = _keys(lab, f"`{description}`").withColumn(
         "_station", places.match_station_rules(F.col("_key"), corrected=corrected)
     )
-    answers = broadcast_if_small(checkpointed(answers))
     return (
         lab.join(answers, lab[f"`{description}`"] == answers["_key"], "left")
         .withColumn(column, F.col("_station"))

@@ -1,10 +1,11 @@
 """Ranks and running totals within groups of any size.
 
-A window needs all rows of a group in one task. :func:`order_groups` therefore measures
-the groups first. While the largest stays below a limit, totals and running totals are
-plain windows. Groups above it are cut at quantiles of the ordering value into segments;
-each total is then taken per segment, carried over the few segments of its group, and
-added back. Both ways give the same numbers.
+A window needs all rows of a group in one task. Rows are therefore range-partitioned by
+(group, value) and written once; a *segment* is a group's share of one partition. Totals and
+running totals are taken per segment, carried over the segments of the group, and added
+back. A large group spans many partitions, a partition holds many small groups, and there is
+one plan for both. Counts and sums of whole numbers do not depend on the partitioning;
+products of fractions may differ in their last digits.
 """
 
 from __future__ import annotations
@@ -23,8 +24,6 @@ SEGMENT = "_segment"
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "product": F.product}
 _ADD = {"sum": lambda a, b: a + b, "product": lambda a, b: a * b}
 _EMPTY = {"sum": 0, "product": 1.0}
-# broadcast bound: at most this many boundary values (8 bytes each)
-_BROADCAST_VALUES = 1_000_000
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -37,20 +36,16 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left
 @dataclass(frozen=True)
 class OrderedGroups:
     keys: list[str]
-    split: bool = False
 
     @property
     def parts(self) -> list[str]:
-        return self.keys + [SEGMENT] if self.split else self.keys
+        return self.keys + [SEGMENT]
 
     def totals(self, df: DataFrame, aggs: dict[str, tuple[str, Column]]) -> DataFrame:
         """Add totals over the whole group to each of its rows."""
-        if not self.split:
-            w = W.partitionBy(*self.keys)
-            return df.withColumns({name: _MERGE[kind](c).over(w) for name, (kind, c) in aggs.items()})
-        w = W.partitionBy(*self.keys)
+        whole = W.partitionBy(*self.keys)
         pieces = df.groupBy(*self.parts).agg(*[_MERGE[k](c).alias(n) for n, (k, c) in aggs.items()])
-        pieces = pieces.withColumns({n: _MERGE[k](n).over(w) for n, (k, _) in aggs.items()})
+        pieces = pieces.withColumns({n: _MERGE[k](n).over(whole) for n, (k, _) in aggs.items()})
         return join_on(df, pieces, self.parts)
 
     def running(
@@ -63,50 +58,29 @@ class OrderedGroups:
         """Add totals up to and including each row. ``order`` starts with the value the
         groups are cut by; ``descending`` says that it runs downwards."""
         here = W.partitionBy(*self.parts).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        local = {n: _MERGE[k](c).over(here) for n, (k, c) in aggs.items()}
-        if not self.split:
-            return df.withColumns(local)
         along = F.col(SEGMENT).desc() if descending else F.col(SEGMENT).asc()
         before = W.partitionBy(*self.keys).orderBy(along).rowsBetween(W.unboundedPreceding, -1)
         pieces = df.groupBy(*self.parts).agg(*[_MERGE[k](c).alias(f"_o_{n}") for n, (k, c) in aggs.items()])
         pieces = pieces.withColumns(
             {f"_o_{n}": F.coalesce(_MERGE[k](f"_o_{n}").over(before), F.lit(_EMPTY[k])) for n, (k, _) in aggs.items()}
         )
+        local = df.withColumns({n: _MERGE[k](c).over(here) for n, (k, c) in aggs.items()})
         return (
-            join_on(df.withColumns(local), pieces, self.parts)
+            join_on(local, pieces, self.parts)
             .withColumns({n: _ADD[k](F.col(n), F.col(f"_o_{n}")) for n, (k, _) in aggs.items()})
             .drop(*[f"_o_{n}" for n in aggs])
         )
 
 
-def order_groups(
-    df: DataFrame, keys: list[str], value: str, limit: int, largest: int | None = None
-) -> tuple[DataFrame, OrderedGroups]:
-    """``df`` with a segment column where a group has more than ``limit`` rows.
+def order_groups(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, OrderedGroups]:
+    """``df`` in segments: range-partitioned by group and value, and written once, so that
+    every later use sees the same segments. Equal values of a group share a segment."""
+    ranged = df.repartitionByRange(*keys, value).withColumn(SEGMENT, F.spark_partition_id())
+    return checkpointed(ranged), OrderedGroups(keys)
 
-    ``df`` must be fixed (checkpointed), as its rows are read more than once. The quantile
-    boundaries are checkpointed too: whatever they are, every use must see the same ones.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    if largest is None:
-        largest = sizes.agg(F.max("_size")).first()[0] or 0
-    if largest <= limit:
-        return df, OrderedGroups(keys)
-    pieces = min(10_000, 2 * math.ceil(largest / limit))
-    cuts = [i / pieces for i in range(1, pieces)]
-    hot = sizes.where(F.col("_size") > limit).select(*keys)
-    bounds = checkpointed(
-        join_on(df, hot, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.array_distinct(F.percentile_approx(value, cuts, max(10_000, 10 * pieces))).alias("_bounds"))
-    )
-    if bounds.count() * pieces <= _BROADCAST_VALUES:
-        bounds = F.broadcast(bounds)
-    segment = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
-    marked = join_on(df, bounds, keys).withColumn(
-        SEGMENT, F.when(F.col("_bounds").isNull(), 0).otherwise(segment)
-    )
-    return marked.drop("_bounds"), OrderedGroups(keys, split=True)
+
+#: rows written out by one task of :func:`repeat_rows`, beyond what the cores take
+ROWS_PER_TASK = 1_000_000
 
 
 def repeat_rows(
@@ -115,11 +89,10 @@ def repeat_rows(
     """Each row ``count`` times, numbered from 1 in ``index``; ``total`` rows in all.
 
     Few rows can stand for many, so bytes say little about the work ahead. Counts are cut
-    into chunks, and chunks are dealt out to a number of tasks taken from the total.
+    into chunks, and chunks are dealt out to a number of tasks that grows with the total.
     """
-    context = df.sparkSession.sparkContext
-    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(math.ceil(total / (2 * chunk)), max(shuffles, 4 * context.defaultParallelism)))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, math.ceil(total / ROWS_PER_TASK))
     size = F.lit(chunk).cast("long")
     one = F.lit(1).cast("long")
     last = F.floor((F.col(count) - one) / size)

@@ -9,13 +9,15 @@ from seepline import vocab
 from seepline.functions import species, values
 
 
-def _ordering(names: list[str]) -> Column:
-    """A struct that compares like the sorted rows, NULL after every value."""
-    return F.struct(*[x for n in names for x in (F.col(n).isNull().alias(f"_n_{n}"), F.col(n))])
+def _ordering(names: list[str], nulls_last: bool = True) -> Column:
+    """A struct that compares like the sorted rows, NULL after (or before) every value."""
+    marks = {n: F.col(n).isNull() if nulls_last else F.col(n).isNotNull() for n in names}
+    return F.struct(*[x for n in names for x in (marks[n].alias(f"_n_{n}"), F.col(n))])
 
 
 def one_per_key(df: DataFrame, keys: list[str], last: bool = False) -> DataFrame:
-    """The first (or last) row of each key in the order of all other columns.
+    """The first (or last) row of each key in the order of all other columns. A value wins
+    over NULL either way.
 
     An aggregate, not a window: each task keeps one row per key before the shuffle, so a
     key that holds a large share of the rows costs no more than any other.
@@ -26,7 +28,7 @@ def one_per_key(df: DataFrame, keys: list[str], last: bool = False) -> DataFrame
     pick = F.max if last else F.min
     return (
         df.groupBy(*keys)
-        .agg(pick(_ordering(rest)).alias("_row"))
+        .agg(pick(_ordering(rest, nulls_last=not last)).alias("_row"))
         .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
 

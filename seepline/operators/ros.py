@@ -16,14 +16,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seepline.functions.normal import normal_quantile
-from seepline.operators.ranking import OrderedGroups, join_on, order_groups, repeat_rows
+from seepline.operators.ranking import SEGMENT, join_on, order_groups, repeat_rows
 from seepline.session import checkpointed
 
-GROUP_LIMIT = 2_000_000
 _SALT_ROWS = 1_000_000
 
 TRANSFORMS: dict[str, tuple[Callable[[Column], Column], Callable[[Column], Column]]] = {
@@ -37,36 +35,38 @@ def _count_if(condition: Column, n: Column) -> Column:
     return F.when(condition, n).otherwise(F.lit(0).cast("long"))
 
 
+def _measured(result: str, censored: str) -> Column:
+    """A row without value or flag is no measurement."""
+    value = F.col(result).cast("double")
+    return value.isNotNull() & ~F.isnan(value) & F.col(censored).isNotNull()
+
+
 def ros_valid(
     df: DataFrame,
     keys: list[str],
     censored: str = "censorship",
     max_fraction: float = 0.8,
     min_uncensored: int = 2,
+    result: str = "result",
 ) -> DataFrame:
-    """Per group: enough uncensored values, not too many censored ones, and both."""
+    """Per group with a measurement: enough uncensored values, not too many censored ones,
+    and both. The same rows count as in the imputation."""
     n, cens = F.count(F.lit(1)), F.count_if(F.col(censored))
     enough, few = (n - cens) >= min_uncensored, (cens / n) <= F.lit(max_fraction)
-    return df.groupBy(*keys).agg(
+    return df.where(_measured(result, censored)).groupBy(*keys).agg(
         enough.alias("enough_uncensored"), few.alias("not_too_many_censored"), (enough & few).alias("valid")
     )
 
 
 @dataclass(frozen=True)
 class _Tally:
-    """Tallied measurements with the group totals each step needs."""
+    """Tallied measurements with the group totals each step needs, written once."""
 
     rows: DataFrame
-    groups: OrderedGroups
+    keys: list[str]
     result: str
     censored: str
     observations: int
-    largest: int
-    limit: int
-
-    @property
-    def keys(self) -> list[str]:
-        return self.groups.keys
 
     def expand(self, df: DataFrame, index: str) -> DataFrame:
         return repeat_rows(df, "_n", index, self.observations, self.keys + ["_v", "_c"])
@@ -77,23 +77,15 @@ class _Tally:
         )
 
 
-def _tally(df: DataFrame, keys: list[str], result: str, censored: str, limit: int) -> _Tally:
-    """Tally and order the measurements. A row without value or flag is no measurement."""
+def _tally(df: DataFrame, keys: list[str], result: str, censored: str) -> _Tally:
+    """Tally and order the measurements."""
     value = F.col(result).cast("double")
-    counted = checkpointed(
-        df.where(value.isNotNull() & ~F.isnan(value) & F.col(censored).isNotNull())
+    counted = (
+        df.where(_measured(result, censored))
         .groupBy(*keys, value.alias("_v"), F.col(censored).alias("_c"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    sizes = (
-        counted.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("d"), F.sum("_n").alias("t"))
-        .agg(F.max("d"), F.max("t"), F.sum("t"))
-        .first()
-    )
-    distinct, largest, observations = (x or 0 for x in sizes)
-    rows, groups = order_groups(counted, keys, "_v", limit, largest=distinct)
-
+    rows, groups = order_groups(counted, keys, "_v")
     c, n, v = F.col("_c"), F.col("_n"), F.col("_v")
     rows = groups.totals(
         rows,
@@ -120,7 +112,9 @@ def _tally(df: DataFrame, keys: list[str], result: str, censored: str, limit: in
         "det_limit_index",
         F.when(F.col("n_cens") == 0, 0).otherwise(F.col("_limits") + lowest_is_value - 1).cast("long"),
     )
-    return _Tally(rows, groups, result, censored, observations, largest, limit)
+    rows = checkpointed(rows.drop(SEGMENT))
+    observations = rows.agg(F.sum("_n")).first()[0] or 0
+    return _Tally(rows, keys, result, censored, observations)
 
 
 def _kept() -> Column:
@@ -147,10 +141,7 @@ def _cohn(t: _Tally) -> DataFrame:
             F.max("_ordinal").alias("_last"),
         )
     )
-    groups = OrderedGroups(t.keys)
-    if t.groups.split:
-        # only then can a group hold more thresholds than the limit
-        limits, groups = order_groups(checkpointed(limits), t.keys, "lower_dl", t.limit)
+    limits, groups = order_groups(limits, t.keys, "lower_dl")
     limits = groups.running(
         limits,
         [F.col("lower_dl").asc()],
@@ -163,19 +154,13 @@ def _cohn(t: _Tally) -> DataFrame:
     limits = groups.running(
         limits, [F.col("lower_dl").desc()], {"_q": ("product", below)}, descending=True
     ).withColumn("prob_exceedance", F.lit(1.0) - F.col("_q"))
-    if groups.split:
-        following = limits.select(
-            *t.keys,
-            (F.col("det_limit_index") - 1).alias("det_limit_index"),
-            F.col("lower_dl").alias("_upper"),
-            F.col("prob_exceedance").alias("_pe"),
-        )
-        limits = join_on(limits, following, t.keys + ["det_limit_index"])
-    else:
-        ahead = W.partitionBy(*t.keys).orderBy(F.col("lower_dl"))
-        limits = limits.withColumns(
-            {"_upper": F.lead("lower_dl").over(ahead), "_pe": F.lead("prob_exceedance").over(ahead)}
-        )
+    following = limits.select(
+        *t.keys,
+        (F.col("det_limit_index") - 1).alias("det_limit_index"),
+        F.col("lower_dl").alias("_upper"),
+        F.col("prob_exceedance").alias("_pe"),
+    )
+    limits = join_on(limits, following, t.keys + ["det_limit_index"])
     return limits.select(
         *t.keys, "det_limit_index", "lower_dl",
         F.coalesce(F.col("_upper"), F.lit(float("inf"))).alias("upper_dl"),
@@ -186,10 +171,10 @@ def _cohn(t: _Tally) -> DataFrame:
 
 
 def cohn_numbers(
-    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship", limit: int = GROUP_LIMIT
+    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship"
 ) -> DataFrame:
     """Cohn numbers of each threshold, and a closing row with exceedance 0 per group."""
-    table = _cohn(_tally(df, keys, result, censored, limit))
+    table = _cohn(_tally(df, keys, result, censored))
     shown = [
         "lower_dl", "upper_dl", "nuncen_above", "nobs_below", "ncen_equal", "prob_exceedance",
     ]
@@ -221,9 +206,10 @@ def _with_limits(t: _Tally, rows: DataFrame) -> DataFrame:
 
 
 def _ranked(t: _Tally, rows: DataFrame) -> DataFrame:
-    """One row per measurement: rank within (threshold, flag) and plotting position."""
+    """One row per measurement: rank within (threshold, flag) and plotting position. The
+    ranked tally is written once; whatever is written out from it reads those rows."""
     c = F.col("_c")
-    joined = _with_limits(t, rows).withColumn(
+    joined = checkpointed(_with_limits(t, rows)).withColumn(
         "_before",
         F.when(c, F.col("_cens_upto") - F.col("_c_before")).otherwise(F.col("_unc_upto") - F.col("_a_before"))
         - F.col("_n"),
@@ -242,37 +228,38 @@ def _ranked(t: _Tally, rows: DataFrame) -> DataFrame:
 
 
 def det_limit_index(
-    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship", limit: int = GROUP_LIMIT
+    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship"
 ) -> DataFrame:
     """Index of the last threshold at or below each value."""
-    t = _tally(df, keys, result, censored, limit)
+    t = _tally(df, keys, result, censored)
     return t.named(t.expand(t.rows, "_i"), "det_limit_index")
 
 
 def ros_sort(
-    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship", limit: int = GROUP_LIMIT
+    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship"
 ) -> DataFrame:
     """Place of each kept measurement: censored ones first, each part by value."""
-    t = _tally(df, keys, result, censored, limit)
+    t = _tally(df, keys, result, censored)
     c, n = F.col("_c"), F.col("_n")
-    rows = t.groups.totals(t.rows, {"_kept_cens": ("sum", _count_if(c & _kept(), n))}).where(_kept())
+    kept = t.rows.groupBy(*t.keys).agg(F.sum(_count_if(c & _kept(), n)).alias("_kept_cens"))
+    rows = join_on(t.rows, kept, t.keys).where(_kept())
     start = F.when(c, F.col("_cens_upto")).otherwise(F.col("_kept_cens") + F.col("_unc_upto")) - n
     return t.named(t.expand(rows, "_i"), (start + F.col("_i")).alias("position"))
 
 
 def ros_rank(
-    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship", limit: int = GROUP_LIMIT
+    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship"
 ) -> DataFrame:
     """1..n within threshold and flag, for groups that have censored values."""
-    t = _tally(df, keys, result, censored, limit)
+    t = _tally(df, keys, result, censored)
     return t.named(_ranked(t, t.rows.where(_kept())), "det_limit_index", "rank")
 
 
 def ros_plot_pos(
-    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship", limit: int = GROUP_LIMIT
+    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship"
 ) -> DataFrame:
     """Plotting positions before the censored ones are put in order."""
-    t = _tally(df, keys, result, censored, limit)
+    t = _tally(df, keys, result, censored)
     return t.named(_ranked(t, t.rows.where(_kept())), "det_limit_index", "rank", "plot_pos")
 
 
@@ -283,9 +270,7 @@ def _in_order(t: _Tally, censored_rows: DataFrame) -> DataFrame:
     """
     numbered = censored_rows.withColumn("_place", F.col("_c_before") + F.col("rank"))
     positions = numbered.select(*t.keys, F.col("plot_pos"))
-    groups = OrderedGroups(t.keys)
-    if t.largest > t.limit:
-        positions, groups = order_groups(checkpointed(positions), t.keys, "plot_pos", t.limit)
+    positions, groups = order_groups(positions, t.keys, "plot_pos")
     positions = groups.running(
         positions, [F.col("plot_pos").asc()], {"_place": ("sum", F.lit(1).cast("long"))}
     ).select(*t.keys, "_place", "plot_pos")
@@ -293,19 +278,19 @@ def _in_order(t: _Tally, censored_rows: DataFrame) -> DataFrame:
 
 
 def ros_sort_nd(
-    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship", limit: int = GROUP_LIMIT
+    df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship"
 ) -> DataFrame:
     """Plotting positions with the censored ones ascending along the censored values."""
-    t = _tally(df, keys, result, censored, limit)
+    t = _tally(df, keys, result, censored)
     ranked = _ranked(t, t.rows.where(_kept()))
     ordered = _in_order(t, ranked.where(F.col("_c")))
     return t.named(ranked.where(~F.col("_c")), "plot_pos").unionByName(t.named(ordered, "plot_pos"))
 
 
-def norm_plot_pos(df: DataFrame, keys: list[str], result: str = "result", limit: int = GROUP_LIMIT) -> DataFrame:
+def norm_plot_pos(df: DataFrame, keys: list[str], result: str = "result") -> DataFrame:
     """Filliben medians of the ordered values of each group."""
     flag = "_uncensored"
-    t = _tally(df.withColumn(flag, F.lit(False)), keys, result, flag, limit)
+    t = _tally(df.withColumn(flag, F.lit(False)), keys, result, flag)
     n, i = F.col("n_obs"), F.col("_unc_upto") - F.col("_n") + F.col("_i")
     top = F.pow(F.lit(0.5), F.lit(1.0) / n)
     position = F.when(i == n, top).when(i == 1, 1 - top).otherwise((i - 0.3175) / (n + 0.365))
@@ -355,10 +340,9 @@ def ros_estimate(
     transform="log",
     max_fraction: float = 0.8,
     min_uncensored: int = 2,
-    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Positions, z and estimates of the groups that have censored values and are valid."""
-    t = _tally(df, keys, result, censored, limit)
+    t = _tally(df, keys, result, censored)
     usable = (F.col("n_cens") > 0) & _valid(max_fraction, min_uncensored)
     ranked = _ranked(t, t.rows.where(usable & _kept()))
     modelled = _estimated(t, ranked, transform)
@@ -381,7 +365,6 @@ def ros_impute(
     transform="log",
     max_fraction: float = 0.8,
     min_uncensored: int = 2,
-    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Every kept measurement with its final value.
 
@@ -389,7 +372,7 @@ def ros_impute(
     values (and lose censored values above all uncensored ones); in the others a censored
     value becomes a fraction of its limit. ``floor`` lifts results of the valid groups.
     """
-    t = _tally(df, keys, result, censored, limit)
+    t = _tally(df, keys, result, censored)
     modelled = (F.col("n_cens") > 0) & _valid(max_fraction, min_uncensored)
 
     def lifted(c: Column) -> Column:

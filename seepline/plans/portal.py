@@ -10,11 +10,11 @@ from seepline.functions import places, species, values
 from seepline.operators import projection, reshape
 
 
-def clean_results(df: DataFrame, corrected: bool = False, ordered: bool = True) -> DataFrame:
+def clean_results(df: DataFrame, corrected: bool = False, ordered: bool = False) -> DataFrame:
     """Canonical names, dates, numbers, units and species of a portal results extract.
 
-    All steps are projections. Only the final order shuffles; a reader that aggregates
-    anyway can do without it (``ordered=False``).
+    All steps are projections; nothing is shuffled unless ``ordered`` asks for a global order
+    by location and date.
     """
     rows = projection.rename_result(df)
     rows = rows.withColumn("sampledate", values.fix_datetime(F.col("sampledate"), F.col("sampletime")))
@@ -60,4 +60,4 @@ def clean_stations(df: DataFrame) -> DataFrame:
 
 def wide_samples(results: DataFrame, chems="") -> DataFrame:
     """Portal extract to one row per sample."""
-    return reshape.pivot_samples(clean_results(results, ordered=False), chems)
+    return reshape.pivot_samples(clean_results(results), chems)

@@ -21,6 +21,8 @@ def local_session(app: str = "seepline", cores: str = "*", shuffle_partitions: i
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # checkpoint files go once nothing refers to them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 

@@ -1,4 +1,8 @@
-"""Readers. Schemas are given, never inferred, so a scan starts without a pass over the data.
+"""Readers. Schemas are given, never inferred; columns of text files are found by name.
+
+Files of one source may list their columns in different orders, or have more or fewer. The
+first line of every file is read (one small job per file, no more than that line), files are
+grouped by header, and each group is read with its own order; only names reach the driver.
 
 Spark reads neither zip archives nor spreadsheets: portal downloads are landed unpacked or
 gzipped, workbooks as CSV. Uncompressed CSV splits; a gzip file is one task.
@@ -6,7 +10,10 @@ gzipped, workbooks as CSV. Uncompressed CSV splits; a gzip file is one task.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,30 +21,58 @@ from pyspark.sql import types as T
 
 from seepline import schemas, vocab
 
+#: the line of a row whose number of fields differs from the header's
+_RAW = "_raw_line"
+#: a text that no field holds
+_NOTHING = "\x00"
+
 TABLES = {"Station": schemas.STATION, "Activity": schemas.ACTIVITY, "Result": schemas.RESULT}
 
 
+def _options(source: dict, kind: str) -> dict:
+    """Connection options of one table: those for all tables, then its own."""
+    shared = {k: v for k, v in source.items() if k not in TABLES}
+    return shared | source.get(kind, {})
+
+
+def checked(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` with the columns that the table's schema names cast to their types; a column
+    whose type cannot become the named one, such as a struct for a number, stops the read."""
+    known = {f.name: f.dataType for f in TABLES[kind].fields} if isinstance(TABLES[kind], T.StructType) else {}
+    wrong = [
+        f"{f.name}: {f.dataType.simpleString()}"
+        for f in df.schema.fields
+        if f.name in known and isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) != isinstance(known[f.name], (T.StructType, T.ArrayType, T.MapType))
+    ]
+    if wrong:
+        raise TypeError(f"{kind} has columns that do not fit its schema: {', '.join(wrong)}")
+    return df.withColumns({f.name: F.col(f.name).try_cast(known[f.name]) for f in df.schema.fields if f.name in known and f.dataType != known[f.name]})
+
+
 def read_base_tables(
     spark: SparkSession,
     source: str | dict,
     names: dict[str, str] | None = None,
     fields: dict[str, list[str]] | None = None,
     where: dict[str, str] | None = None,
+    kinds: Iterable[str] = ("Station", "Activity", "Result"),
 ) -> dict[str, DataFrame]:
-    """The station, activity and result tables.
+    """The station, activity and result tables, or those of ``kinds``.
 
-    ``source`` is a folder of parquet tables or the options of a JDBC connection; with
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` among them the
-    database is read in parallel. ``names`` maps table kinds to stored names. Columns and
-    conditions are part of the plan, so both kinds of scan read no more than they need.
+    ``source`` is a folder of parquet tables or the options of a JDBC connection. Under a
+    table's kind it may hold options of that table alone, above all ``partitionColumn``,
+    ``lowerBound``, ``upperBound`` and ``numPartitions``, with which the database is read in
+    parallel. ``names`` maps table kinds to stored names. Columns and conditions are part of
+    the plan, so both kinds of scan read no more than they need.
     """
     out = {}
-    for kind in TABLES:
+    for kind in kinds:
         stored = (names or {}).get(kind, kind)
         if isinstance(source, dict):
-            df = spark.read.format("jdbc").options(**source).option("dbtable", stored).load()
+            df = spark.read.format("jdbc").options(**_options(source, kind)).option("dbtable", stored).load()
         else:
             df = spark.read.parquet(f"{source.rstrip('/')}/{stored}")
+        df = checked(df, kind)
         if where and kind in where:
             df = df.where(where[kind])
         if fields and kind in fields:
@@ -46,6 +81,44 @@ def read_base_tables(
     return out
 
 
+def header_groups(spark: SparkSession, paths: str | list[str], sep: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by their column names, in the order of the first file of each group. Files
+    without a first line are left out."""
+    found = spark.read.format("binaryFile").load(paths).select("path", "length").where("length > 0").collect()
+    files = sorted(r["path"] for r in found)
+
+    def header(file: str) -> tuple[str, ...]:
+        line = spark.read.text(file).head(1)
+        names = next(csv.reader([line[0][0].removeprefix("\ufeff")], delimiter=sep), []) if line else []
+        return tuple(n.strip() for n in names)
+
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(header, files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for names, file in zip(headers, files, strict=True):
+        if names:
+            groups.setdefault(names, []).append(file)
+    return groups
+
+
+def _by_name(spark, paths, columns: list[str], types: dict[str, T.DataType], sep: str, read) -> DataFrame:
+    """Files read group by group; ``read(files, schema)`` gives a group's rows in its own
+    order. A column that a group lacks is NULL, a column nobody asked for is left out."""
+    parts = []
+    for names, files in header_groups(spark, paths, sep).items():
+        # a name that repeats in a header keeps its first place
+        own = [n if n not in names[:i] and n else f"_{i}" for i, n in enumerate(names)]
+        schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in own])
+        df = read(files, schema)
+        missing = {c: F.lit(None).cast(types.get(c, T.StringType())) for c in columns if c not in own}
+        kept = [c for c in df.columns if c not in own]
+        parts.append(df.withColumns(missing).select(*[F.col(f"`{c}`") for c in [*columns, *kept]]))
+    if not parts:
+        schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_lab_tsv(
     spark: SparkSession,
     paths: str | list[str],
@@ -53,22 +126,33 @@ def read_lab_tsv(
     exclude: Iterable[str] = (),
     drop_bad: bool = True,
 ) -> DataFrame:
-    """Tab-delimited laboratory files with one set of headers, each row with its file.
+    """Tab-delimited laboratory files, each row with its file.
 
-    Files named in ``exclude`` (without extension) are left out. Rows that do not fit the
-    headers are dropped, or else stop the read.
+    Files named in ``exclude`` (without extension) are left out. A row with fewer fields than
+    its header ends in NULLs; one with more fields is dropped, or else stops the read.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("header", True)
-        .option("mode", "DROPMALFORMED" if drop_bad else "FAILFAST")
-        # a row with missing fields counts as bad only when every column is parsed
-        .option("columnPruning", False)
-        .csv(paths)
-        .withColumn("source_file", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""))
-    )
+
+    def read(files, schema):
+        raw = F.col(_RAW)
+        fields = F.length(F.regexp_replace(raw, '"[^"]*"', "")) - F.length(F.regexp_replace(raw, '"[^"]*"|\t', "")) + 1
+        # the last condition never holds: a scan must read a column besides the raw line
+        fits = raw.isNull() | (fields <= len(schema)) | (F.col(f"`{schema.names[0]}`") == _NOTHING)
+        df = (
+            spark.read.schema(T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())]))
+            .options(sep="\t", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW)
+            # whether a row fits shows only when every column is parsed
+            .option("columnPruning", False)
+            .csv(files)
+            .withColumn("source_file", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""))
+        )
+        if drop_bad:
+            return df.where(fits).drop(_RAW)
+        stop = F.raise_error(F.concat(F.lit("malformed row, more fields than headers, in "), F.col("source_file")))
+        return df.withColumn("source_file", F.when(fits, F.col("source_file")).otherwise(stop.cast("string"))).drop(_RAW)
+
+    df = _by_name(spark, paths, columns, {}, "\t", read)
+    if "source_file" not in df.columns:
+        df = df.withColumn("source_file", F.lit(None).cast("string"))
     names = list(exclude)
     return df.where(~F.col("source_file").isin(names)) if names else df
 
@@ -78,12 +162,12 @@ def _csv(
 ) -> DataFrame:
     """CSV with doubled quotes. Files split into many tasks unless ``multiline`` says that
     quoted fields hold line breaks; then each file is one task."""
-    numbers = set(numbers)
-    schema = T.StructType(
-        [T.StructField(c, T.DoubleType() if c in numbers else T.StringType()) for c in columns]
-    )
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    return reader.option("multiLine", multiline).csv(path)
+    types = {c: T.DoubleType() for c in numbers}
+
+    def read(files, schema):
+        return spark.read.schema(schema).options(header=True, escape='"', multiLine=multiline).csv(files)
+
+    return _by_name(spark, path, columns, types, ",", read)
 
 
 def read_portal_results(

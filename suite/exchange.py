@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from seepline import vocab
@@ -22,34 +23,54 @@ def _landed_csv(t, df, stem, sep=","):
     return path
 
 
-def _base(t):
+def _base(t, kind, df):
     root = fresh_path(t.spark, "base")
-    for kind, df in (("Station", t.stations), ("Activity", t.activities), ("Result", t.results)):
-        df.write.parquet(f"{root}/{kind}")
+    df.write.parquet(f"{root}/{kind}")
     return readers.read_base_tables(
-        t.spark, root, fields={"Result": ["activityid", "characteristicname", "resultvalue"]}, where={"Result": "resultunit = 'ug/L'"}
-    )
+        t.spark, root, fields={"Result": ["activityid", "characteristicname", "resultvalue"]}, where={"Result": "resultunit = 'ug/L'"}, kinds=[kind]
+    )[kind]
 
 
-query("read_base_tables", "SELECT activityid, characteristicname, resultvalue FROM wq_results WHERE resultunit='ug/L'")(lambda t: _base(t)["Result"])
-query("read_base_tables_stations", "SELECT * FROM wq_stations")(lambda t: _base(t)["Station"])
+query("read_base_tables", "SELECT activityid, characteristicname, TRY_CAST(resultvalue AS DOUBLE) AS resultvalue FROM wq_results WHERE resultunit='ug/L'")(
+    lambda t: _base(t, "Result", t.results)
+)
+query("read_base_tables_stations", "SELECT * FROM wq_stations")(lambda t: _base(t, "Station", t.stations))
 
 
 @query(
     "read_lab_tsv",
-    """SELECT 'SL' || l_orderkey AS "Sample Number", 'P' || l_partkey AS "Param Description", CAST(l_quantity/4 AS VARCHAR) AS "Result Value" FROM lineitem WHERE l_returnflag <> 'N'""",
+    """SELECT 'SL' || l_orderkey AS "Sample Number", 'P' || l_partkey AS "Param Description", CASE WHEN l_returnflag<>'A' OR l_linenumber > 1 THEN CAST(l_quantity/4 AS VARCHAR) END AS "Result Value" FROM lineitem""",
 )
 def _(t):
-    """Files by return flag; those of one flag are excluded by name."""
+    """File sets by return flag: with short rows, with columns in another order and one
+    more, and plain; a file of other rows (one for each region) is excluded by name."""
     names = ["Sample Number", "Param Description", "Result Value"]
     rows = read_table(t.spark, t.folder, "lineitem").select(
         F.concat(F.lit("SL"), c("l_orderkey")).alias(names[0]), F.concat(F.lit("P"), c("l_partkey")).alias(names[1]),
-        (c("l_quantity") / 4).cast("string").alias(names[2]), "l_returnflag",
+        (c("l_quantity") / 4).cast("string").alias(names[2]), "l_returnflag", "l_linenumber",
     )
-    paths = {f: _landed_csv(t, rows.where(c("l_returnflag") == f).drop("l_returnflag"), f"lab-{f}", "\t") for f in "ANR"}
-    skipped = readers.read_lab_tsv(t.spark, paths["N"], names).select("source_file").distinct().collect()
-    lab = readers.read_lab_tsv(t.spark, list(paths.values()), names, exclude=[r[0] for r in skipped])
-    return lab.drop("source_file")
+    flagged = {f: rows.where(c("l_returnflag") == f) for f in "ANR"}
+    # a short row ends after its second field
+    line = F.concat_ws("\t", *[c(n) for n in names[:2]], F.when(c("l_linenumber") > 1, c(names[2])))
+
+    def headed(batches):
+        for i, batch in enumerate(batches):
+            if not i:
+                yield pa.RecordBatch.from_pydict({"value": ["\t".join(names)]}, schema=batch.schema)
+            yield batch
+
+    short = fresh_path(t.spark, "lab-A")
+    flagged["A"].select(line.alias("value")).mapInArrow(headed, "value string").write.text(short)
+    other = read_table(t.spark, t.folder, "region").select(*[c("r_name").alias(n) for n in names]).coalesce(1)
+    paths = [
+        short,
+        _landed_csv(t, flagged["R"].select(names[2], F.lit("x").alias("Lab"), names[0], names[1]), "lab-R", "\t"),
+        _landed_csv(t, flagged["N"].select(*names), "lab-N", "\t"),
+        _landed_csv(t, other, "lab-other", "\t"),
+    ]
+    file = F.regexp_extract("path", r"([^/]*)\.[^./]*$", 1)
+    left_out = t.spark.read.format("binaryFile").load(paths[-1]).select(file).first()[0]
+    return readers.read_lab_tsv(t.spark, paths, names, exclude=[left_out]).drop("source_file")
 
 
 @query(
@@ -61,7 +82,11 @@ def _(t):
     given = frames.portal_results(t).withColumn("ActivityDepthHeightMeasure/MeasureValue", F.length("ResultMeasureValue") / 2)
     blank = {n: F.lit(None).cast("string") for n in vocab.PORTAL_RESULT_COLUMNS if n not in given.columns}
     whole = given.withColumns(blank).select(*[F.col(f"`{n}`") for n in vocab.PORTAL_RESULT_COLUMNS])
-    rows = readers.read_portal_results(t.spark, _landed_csv(t, whole, "results"))
+    half = c("ActivityIdentifier").endswith("1")
+    turned = whole.where(half).select(F.lit("-").alias("Added"), *[F.col(f"`{n}`") for n in reversed(whole.columns)])
+    rows = readers.read_portal_results(
+        t.spark, [_landed_csv(t, whole.where(~F.coalesce(half, F.lit(False))), "results"), _landed_csv(t, turned, "results-turned")]
+    )
     shown = ["OrganizationIdentifier", "ActivityIdentifier", "MonitoringLocationIdentifier", "CharacteristicName", "ResultMeasureValue",
              "DetectionQuantitationLimitMeasure/MeasureValue", "ActivityDepthHeightMeasure/MeasureValue"]
     return rows.select(*[F.col(f"`{n}`") for n in shown])
@@ -86,9 +111,10 @@ query("read_characteristic_domain", """SELECT CAST(pk_isn AS VARCHAR) AS "PK_ISN
     "SELECT activityid, monitoringlocationid, temperature_c, conduct_uscm FROM wq_activities",
 )
 def _(t):
-    """One answer per location and day, each with its activities as features."""
+    """Pages of an answer, by location and range of 400 keys, so that none grows with its location."""
     feature = F.struct(F.struct("activityid", "monitoringlocationid", "temperature_c", "conduct_uscm").alias("attributes"))
-    answers = t.activities.groupBy("monitoringlocationid", "activitystartdate").agg(F.collect_list(feature).alias("features"))
+    page = F.floor(F.regexp_extract("activityid", "([0-9]+)", 1).cast("long") / 400)
+    answers = t.activities.groupBy("monitoringlocationid", page.alias("page")).agg(F.collect_list(feature).alias("features"))
     answers = answers.select(F.to_json(F.struct("features")).alias("answer"))
     return readers.flatten_features(
         answers, "answer", "activityid STRING, monitoringlocationid STRING, temperature_c DOUBLE, conduct_uscm DOUBLE"

@@ -46,7 +46,7 @@ def _prep_stations_sql():
             "altlocationcontext": "CASE WHEN usgs_id IS NOT NULL THEN 'usgs_id' WHEN win IS NOT NULL THEN 'Utah Well ID' WHEN wrnum IS NOT NULL THEN 'Utah Water Rights Number' END"}
     cols = ", ".join(f"{have[n]} AS {n}" if n in have else _null(n) for n in schemas.FIELDS["Station"])
     return f"""SELECT {cols} FROM wq_stations s WHERE send=1 AND locationtype IS DISTINCT FROM 'Atmosphere'
-    AND NOT EXISTS (SELECT 1 FROM wq_portal_stations p WHERE replace(replace(p.loc,'_WQX-','-'),'UTAHGS-','') = s.locationid AND p.typ='Spring')"""
+    AND NOT EXISTS (SELECT 1 FROM wq_portal_stations p WHERE CASE WHEN p.typ='Spring' THEN replace(replace(p.loc,'_WQX-','-'),'UTAHGS-','') ELSE 'other-' || p.loc END = s.locationid)"""
 
 
 def _stations_full(t):
@@ -58,7 +58,10 @@ def _stations_full(t):
 query("prep_stations", _prep_stations_sql())(
     lambda t: publish.prep_stations(
         _stations_full(t),
-        t.portal_stations.where("typ = 'Spring'").select(values.strip_org_prefix(values.strip_wqx(c("loc"))).alias("locationid")),
+        # other stations stand under another key, so that some of ours are unknown there
+        t.portal_stations.select(
+            F.when(c("typ") == "Spring", values.strip_org_prefix(values.strip_wqx(c("loc")))).otherwise(F.concat(F.lit("other-"), "loc")).alias("locationid")
+        ),
     )
 )
 query("prep_result_activity", f"""SELECT {', '.join(schemas.FIELDS['Upload'])} FROM ({joined_sql('LEFT')}) j WHERE projectid IS NOT NULL
@@ -90,15 +93,15 @@ def _state_sql(station: str, ctes: str = "") -> str:
     CASE WHEN problem='<' THEN 'Below Reporting Limit' WHEN problem='>' THEN 'Above Operating Range' WHEN problem IS NULL AND code='U' THEN 'Not Detected' END AS resultdetectioncondition,
     {sql.state_name('param')} AS characteristicname, {sql.state_form('param')} AS methodspeciation, sample_number || '-' || coalesce({sql.state_name('param')}, 'None') AS resultid,
     'Lower Reporting Limit' AS resultdetecquantlimittype, 'Actual' AS resultvaluetype, 'Final' AS resultstatusid, 0 AS inwqx FROM wq_state_lab s LEFT JOIN m ON m.k = {{key}}) b
-    LEFT JOIN (SELECT locationid, {sql.case_of('qwnetworkname', vocab.PROJECT_CODES)} AS code FROM wq_sites) p ON p.locationid = b.monitoringlocationid
+    LEFT JOIN (SELECT locationid, max({sql.case_of('qwnetworkname', vocab.PROJECT_CODES)}) AS code FROM wq_networks GROUP BY 1) p ON p.locationid = b.monitoringlocationid
     LEFT JOIN {_GROUPS} d ON d.n = b.characteristicname"""
 
 
 query("state_lab_job", _state_sql("m.s", "WITH m AS (SELECT sample_number AS k, max(CAST(CAST(station_id AS BIGINT) AS VARCHAR)) AS s FROM wq_matches GROUP BY 1)").replace("{key}", "s.sample_number"))(
-    lambda t: lab.state_lab_job(frames.state_lab(t), frames.domain(t), t.sites, frames.matches(t))
+    lambda t: lab.state_lab_job(frames.state_lab(t), frames.domain(t), t.networks, frames.matches(t))
 )
 query("state_lab_job_rules", _state_sql("m.s", f"WITH m AS (SELECT d.description AS k, arg_max(r.station, r.ord) AS s FROM (SELECT DISTINCT description FROM wq_state_lab) d, {sql.rules_table()} WHERE regexp_matches(d.description, r.pattern) GROUP BY 1)").replace("{key}", "s.description"))(
-    lambda t: lab.state_lab_job(frames.state_lab(t), frames.domain(t), t.sites)
+    lambda t: lab.state_lab_job(frames.state_lab(t), frames.domain(t), t.networks)
 )
 query("location_summary", f"""WITH r AS (SELECT *, CASE WHEN lower(rtrim(resultunit)) IN ('ug/l','mg/l') THEN 'mg/l' ELSE rtrim(resultunit) END AS u,
  CASE WHEN lower(rtrim(resultunit))='ug/l' THEN ({sql.censored_value('resultvalue')})/1000 ELSE {sql.censored_value('resultvalue')} END AS v FROM wq_results), k AS (SELECT *, {sql.nutrient('characteristicname', 'u')} AS k FROM r)

@@ -8,7 +8,7 @@ from seepline import schemas, vocab
 from seepline.functions import values
 from seepline.operators import joins, projection
 from suite import frames, sql
-from suite.base import query, read_table
+from suite.base import numbered, query, read_table
 
 c = F.col
 
@@ -133,14 +133,15 @@ query("sample_station_lookup", """SELECT l.sample_number AS "Sample Number", l.p
     )
 )
 query("project_code", f"""SELECT r.*, s.code AS projectid FROM wq_results r LEFT JOIN
- (SELECT locationid, {sql.case_of('qwnetworkname', vocab.PROJECT_CODES)} AS code FROM wq_sites) s ON s.locationid = r.monitoringlocationid""")(
-    lambda t: joins.project_code(t.results, t.sites)
+ (SELECT locationid, max({sql.case_of('qwnetworkname', vocab.PROJECT_CODES)}) AS code FROM wq_networks GROUP BY 1) s ON s.locationid = r.monitoringlocationid""")(
+    lambda t: joins.project_code(t.results, t.networks)
 )
 query("substance_lookup", """SELECT r.*, s.epaname, s.w AS molecularweight, s.f AS molecularformula, s.k AS currentcasnumber FROM wq_results r LEFT JOIN
- (SELECT epaname, max(molecularweight) AS w, max(molecularformula) AS f, max(currentcasnumber) AS k FROM wq_substances GROUP BY 1) s ON s.epaname = r.characteristicname""")(
+ (SELECT epaname, molecularweight AS w, molecularformula AS f, currentcasnumber AS k FROM wq_substances
+  QUALIFY row_number() OVER (PARTITION BY epaname ORDER BY molecularweight DESC NULLS LAST, molecularformula DESC NULLS LAST, currentcasnumber DESC NULLS LAST) = 1) s ON s.epaname = r.characteristicname""")(
     lambda t: joins.substance_lookup(t.results, t.substances)
 )
-query("county_lookup", "SELECT name, county FROM wq_counties WHERE state='49' ORDER BY name")(lambda t: joins.county_lookup(t.counties, "Utah"))
-query("organization_lookup", 'SELECT descr AS "desc", value FROM wq_organizations ORDER BY 1')(
-    lambda t: joins.organization_lookup(t.organizations.withColumnRenamed("descr", "desc"))
+query("county_lookup", "SELECT name, county, row_number() OVER (ORDER BY name, county) - 1 AS position FROM wq_counties WHERE state='49'")(lambda t: numbered(joins.county_lookup(t.counties, "Utah")))
+query("organization_lookup", 'SELECT descr AS "desc", value, row_number() OVER (ORDER BY descr, value) - 1 AS position FROM wq_organizations')(
+    lambda t: numbered(joins.organization_lookup(t.organizations.withColumnRenamed("descr", "desc")))
 )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seepline import vocab
 from seepline.operators import reshape, stations
 from suite import frames
-from suite.base import query
+from suite.base import numbered, query
 from suite.relations import _LOCAL
 
 c = F.col
@@ -81,7 +81,7 @@ query("variable_range", """SELECT sampleid, Cl, lo AS var_min, hi AS var_max, (C
     lambda t: stations.variable_range(t.majors.select("sampleid", "Cl"), "Cl")
 )
 query("append_tables", "SELECT * FROM wq_stations UNION ALL BY NAME SELECT * FROM wq_sites")(lambda t: reshape.append_tables(t.stations, t.sites))
-query("sort_results", "SELECT sampleid, monitoringlocationid, sampledate, Ca FROM wq_majors ORDER BY monitoringlocationid, sampledate")(
-    lambda t: reshape.sort_results(t.majors.select("sampleid", "monitoringlocationid", "sampledate", "Ca"))
+query("sort_results", "SELECT sampleid, monitoringlocationid, sampledate, Ca, row_number() OVER (ORDER BY monitoringlocationid, sampledate, sampleid, Ca) - 1 AS position FROM wq_majors")(
+    lambda t: numbered(reshape.sort_results(t.majors.select("sampleid", "monitoringlocationid", "sampledate", "Ca")))
 )
-query("sort_stations", "SELECT * FROM wq_stations ORDER BY locationid")(lambda t: reshape.sort_stations(t.stations))
+query("sort_stations", "SELECT *, row_number() OVER (ORDER BY locationid) - 1 AS position FROM wq_stations")(lambda t: numbered(reshape.sort_stations(t.stations)))

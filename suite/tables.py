@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seepline import schemas
 from seepline.operators import filters, projection
 from suite import frames
-from suite.base import query
+from suite.base import numbered, query
 
 c = F.col
 
@@ -99,8 +99,8 @@ query("method_qc", "SELECT lab_number, units, NULL::VARCHAR AS resultanalyticalm
 query("alt_id_above", 'SELECT locationname, altlocationid, "offset", barologgertype FROM wq_sites WHERE TRY_CAST(altlocationid AS DOUBLE) > 1000')(
     lambda t: filters.alt_id_above(t.sites)
 )
-query("filter_location", "SELECT * FROM wq_activities WHERE monitoringlocationid = '1017' ORDER BY activitystartdate")(
-    lambda t: filters.filter_location(t.activities, "1017")
+query("filter_location", "SELECT *, row_number() OVER (ORDER BY activitystartdate, activityid) - 1 AS position FROM wq_activities WHERE monitoringlocationid = '1017'")(
+    lambda t: numbered(filters.filter_location(t.activities, "1017"))
 )
 query("portal_bbox", "SELECT * FROM wq_sites WHERE longitude >= -113.5 AND longitude <= -111 AND latitude >= 38 AND latitude <= 40.5")(
     lambda t: filters.portal_bbox(t.sites, -113.5, 38.0, -111.0, 40.5)

@@ -30,7 +30,7 @@ def test_membership_keeps_rows_without_key(spark):
 def test_one_per_key(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", "x", 9), ("a", "x", 2), (None, "y", 5)], "k string, s string, n int")
     assert rows(reshape.one_per_key(df, ["k"])) == [("a", "x", 2), (None, "y", 5)]
-    assert rows(reshape.one_per_key(df, ["k"], last=True)) == [("a", None, 1), (None, "y", 5)]
+    assert rows(reshape.one_per_key(df, ["k"], last=True)) == [("a", "x", 9), (None, "y", 5)]
     # combined in the map tasks, so a hot key is one row per task
     assert "partial_min" in plan(reshape.one_per_key(df, ["k"])) and "Window" not in plan(reshape.one_per_key(df, ["k"]))
 
@@ -107,20 +107,17 @@ def test_extent_and_range(spark):
     assert [r["var_norm"] for r in stations.variable_range(df, "latitude").orderBy("latitude").collect()] == [0.0, 1.0]
 
 
-def test_split_groups_agree_with_windows(spark):
-    from seepline.session import checkpointed
+def test_segments_agree_with_windows(spark):
+    from pyspark.sql import Window as W
 
-    df = checkpointed(spark.range(500).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"), (F.col("id") * 7919 % 1009).cast("double").alias("v")))
-
-    def run(limit):
-        d, g = order_groups(df, ["k"], "v", limit)
-        d = g.totals(d, {"t": ("sum", F.col("v")), "m": ("max", F.col("v"))})
-        d = g.running(d, [F.col("v").asc()], {"up": ("sum", F.lit(1))})
-        d = g.running(d, [F.col("v").desc()], {"down": ("sum", F.col("v"))}, descending=True)
-        return g.split, rows(d.select("k", "v", "t", "m", "up", "down"))
-
-    whole, split = run(10_000), run(20)
-    assert (whole[0], split[0]) == (False, True) and whole[1] == split[1]
+    df = spark.range(500).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"), (F.col("id") * 7919 % 1009).cast("double").alias("v"))
+    d, g = order_groups(df, ["k"], "v")
+    d = g.totals(d, {"t": ("sum", F.col("v")), "m": ("max", F.col("v"))})
+    d = g.running(d, [F.col("v").asc()], {"up": ("sum", F.lit(1))})
+    d = g.running(d, [F.col("v").desc()], {"down": ("sum", F.col("v"))}, descending=True)
+    group = W.partitionBy("k")
+    want = df.select("k", "v", F.sum("v").over(group), F.max("v").over(group), F.count("v").over(group.orderBy("v")), F.sum("v").over(group.orderBy(F.desc("v"))))
+    assert rows(d.select("k", "v", "t", "m", "up", "down")) == rows(want)
 
 
 def test_repeat_rows(spark):
@@ -137,3 +134,31 @@ def test_lookups(spark):
     lab = spark.createDataFrame([("1", "mud hole 2"), ("2", None)], "n string, d string")
     got = rows(joins.match_stations(lab, "d", "s").select("n", "s"))
     assert got == [("1", "395214112140301"), ("2", None)]
+
+
+def test_attached_value_wins_over_null(spark):
+    from seepline.operators import joins
+
+    rows = spark.createDataFrame([("Nitrate",), ("Other",), (None,)], "characteristicname string")
+    domain = spark.createDataFrame([("Nitrate", "Nutrient"), ("Nitrate", None), (None, "x")], "REGISTRY_NAME string, CHARACTERISTIC_GROUP_TYPE string")
+    got = {tuple(r) for r in joins.characteristic_group(rows, domain).collect()}
+    assert got == {("Nitrate", "Nutrient"), ("Other", None), (None, None)}
+
+
+def test_attached_row_is_the_last_listed(spark):
+    from seepline.operators import joins
+
+    rows = spark.createDataFrame([("a",), ("b",)], "k string")
+    listed = spark.createDataFrame([("a", "z", 1), ("a", "b", 2), ("b", "q", None), ("b", "c", 0)], "k string, v string, line int")
+    got = {tuple(r) for r in joins.attach(rows, listed, "k", "k", {"v": "v"}, order="line").collect()}
+    assert got == {("a", "b"), ("b", "c")}
+
+
+def test_radius_near_the_date_line(spark):
+    from seepline.operators import filters
+
+    rows = spark.createDataFrame([("a", 0.0, 179.9), ("b", 0.0, -179.9), ("c", 0.0, 170.0), ("d", 89.9, 10.0)], "locationid string, latitude double, longitude double")
+    near = filters.portal_radius(rows, 30, "mi", 0.0, 179.95)
+    assert {r["locationid"] for r in near.collect()} == {"a", "b"}
+    assert {r["locationid"] for r in filters.portal_radius(rows, 30, "mi", 89.95, -170.0).collect()} == {"d"}
+    assert {r["locationid"] for r in filters.portal_radius(rows, 30, "mi", 0.0, 170.1).collect()} == {"c"}

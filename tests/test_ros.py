@@ -117,38 +117,34 @@ def close(a, b):
             assert p == pytest.approx(q, rel=1e-9, abs=1e-12), (x, y)
 
 
-# groups used where a low limit cuts every larger group into segments
-CUT = ["above", "low value", "one limit", "g1", "g4"]
-
-
-def cut_down(frame, expected, limit):
-    if limit == ros.GROUP_LIMIT:
-        return frame, expected
-    keep = [k for k in CUT if k in expected]
-    return frame.where(frame["site"].isin(keep) | frame["site"].isNull()), {k: expected[k] for k in keep + [None]}
-
-
-@pytest.mark.parametrize("limit", [ros.GROUP_LIMIT, 4])
-def test_steps(spark, frame, expected, limit):
-    frame, expected = cut_down(frame, expected, limit)
+@pytest.fixture(params=[1, 8, 37])
+def partitions(spark, request):
+    """Few groups to a partition, or many partitions to a group: the results are the same."""
+    conf = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_steps(spark, frame, expected, partitions):
     cols = ["lower_dl", "nuncen_above", "nobs_below", "ncen_equal", "prob_exceedance"]
-    cohn = by_site(ros.cohn_numbers(frame, ["site"], limit=limit).where("lower_dl is not null"), cols)
+    cohn = by_site(ros.cohn_numbers(frame, ["site"]).where("lower_dl is not null"), cols)
     for site, e in expected.items():
         want = [(lo, a, b, c, p) for lo, _, a, b, c, p in e["cohn"]]
         close(cohn.get(site, []), want)
 
-    sort = by_site(ros.ros_sort(frame, ["site"], limit=limit), ["position", "result", "censorship"])
+    sort = by_site(ros.ros_sort(frame, ["site"]), ["position", "result", "censorship"])
     for site, e in expected.items():
         assert sort.get(site, []) == [(i + 1, v, c) for i, (v, c) in enumerate(e["sorted"])]
 
-    if limit != ros.GROUP_LIMIT:
-        # the imputation below covers the later steps for groups that are cut
-        return
     ranks = by_site(
-        ros.ros_plot_pos(frame, ["site"], limit=limit),
+        ros.ros_plot_pos(frame, ["site"]),
         ["censorship", "result", "rank", "det_limit_index", "plot_pos"],
     )
-    ordered = by_site(ros.ros_sort_nd(frame, ["site"], limit=limit), ["censorship", "plot_pos", "result"])
+    ordered = by_site(ros.ros_sort_nd(frame, ["site"]), ["censorship", "plot_pos", "result"])
     for site, e in expected.items():
         if "pos" not in e:
             assert site not in ranks
@@ -158,15 +154,11 @@ def test_steps(spark, frame, expected, limit):
         close(ordered.get(site, []), sorted((c, p, v) for (v, c), p in zip(e["sorted"], e["pos"])))
 
 
-@pytest.mark.parametrize("limit", [ros.GROUP_LIMIT, 4])
-def test_impute(spark, frame, expected, limit):
-    frame, expected = cut_down(frame, expected, limit)
-    got = by_site(ros.ros_impute(frame, "result", "censorship", ["site"], limit=limit), ["final"])
+def test_impute(spark, frame, expected, partitions):
+    got = by_site(ros.ros_impute(frame, "result", "censorship", ["site"]), ["final"])
     for site, e in expected.items():
         close(got[site], sorted((x,) for x in e["final"]))
-    if limit != ros.GROUP_LIMIT:
-        return
-    est = by_site(ros.ros_estimate(frame, ["site"], limit=limit), ["final"])
+    est = by_site(ros.ros_estimate(frame, ["site"]), ["final"])
     assert set(est) == {k for k, e in expected.items() if e.get("valid") and e["n_c"]}
 
 
@@ -216,3 +208,10 @@ def test_normal_quantile(spark):
     assert got[-3:] == [None, None, None]
     for p, z in zip(ps, got):
         assert z == pytest.approx(PHI_INV(p), rel=1e-12, abs=1e-12)
+
+
+def test_valid_counts_the_rows_that_are_imputed(spark):
+    rows = [("a", None, False)] * 5 + [("a", 1.0, False), ("a", 2.0, True), ("a", float("nan"), False), ("b", None, True)]
+    df = spark.createDataFrame(rows, "k string, result double, censorship boolean")
+    got = {r["k"]: r["valid"] for r in ros.ros_valid(df, ["k"]).collect()}
+    assert got == {"a": False}
