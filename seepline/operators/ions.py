@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from seepline import vocab
 from seepline.functions import colors
+from seepline.functions.surface import field_patch, height_column
 
 _H = 0.5 * math.tan(math.pi / 3)
 _OFF = vocab.PIPER_OFFSET
@@ -21,6 +22,9 @@ _X0 = 0.5
 _Y0 = _X0 * math.tan(math.pi / 6)
 # left end of the anion triangle
 _RIGHT = 1 + 2 * _OFF
+# saturation surfaces, with corners in order around the centre
+_TRIANGLE = field_patch([(0.0, 0.0), (_X0, _H), (1.0, 0.0)], (_X0, _Y0))
+_DIAMOND = field_patch([(-_X0, 0.0), (0.0, _H), (_X0, 0.0), (0.0, -_H)], (0.0, 0.0))
 
 
 def fill_ions(df: DataFrame) -> DataFrame:
@@ -168,19 +172,29 @@ def piper_hue(df: DataFrame) -> DataFrame:
 def piper_color(df: DataFrame) -> DataFrame:
     """Red, green and blue (0..1) of each sample in the three fields.
 
-    Saturation is the square root of a surface that is 0 at the centre of a field and 1 at
-    its corners; between those nodes it is taken as linear.
+    Saturation is the square root of a smooth cubic surface that is 0 at the centre of a
+    field and 1 at its corners. A point is placed in the triangle of the centre and its two
+    nearest corners by that triangle's barycentric coordinates.
     """
     one = F.lit(1.0)
     dx, dy = F.col("d_x") - F.lit(1 + _OFF), F.col("d_y") - F.lit(_H + _OFF_Y)
+    place = {}
+    for field, parts in (("cat", ("cat_ca", "cat_mg", "cat_nak")), ("an", ("an_hco3", "an_so4", "an_cl"))):
+        low, high = F.least(*parts), F.greatest(*parts)
+        place |= {f"_b1_{field}": high - low, f"_b2_{field}": one - high - 2 * low, f"_b3_{field}": 3 * low}
+    across, up = F.abs(dx) / F.lit(_X0), F.abs(dy) / F.lit(_H)
+    place |= {"_b1_d": across, "_b2_d": up, "_b3_d": one - across - up}
     surface = {
-        "cat": one - 3 * F.least("cat_ca", "cat_mg", "cat_nak"),
-        "an": one - 3 * F.least("an_hco3", "an_so4", "an_cl"),
-        "d": F.abs(dx) / F.lit(_X0) + F.abs(dy) / F.lit(_H),
+        f: height_column(patch, [F.col(f"_b{i}_{f}") for i in (1, 2, 3)])
+        for f, patch in (("cat", _TRIANGLE), ("an", _TRIANGLE), ("d", _DIAMOND))
     }
+    df = df.withColumns(place)
     turn = {f"_sixth_{f}": F.coalesce(F.col(f"hue_{f}") / F.lit(math.pi / 3), F.lit(0.0)) for f in surface}
     shade = {f"sat_{f}": F.sqrt(F.greatest(x, F.lit(0.0))) for f, x in surface.items()}
-    painted = df.withColumns({**shade, **turn}).withColumns(
+    painted = df
+    for name, shown in shade.items():
+        painted = painted.withColumn(name, shown)
+    painted = painted.drop(*place).withColumns(turn).withColumns(
         {f"_out_{f}": colors.outside_turn(F.col(f"_sixth_{f}")) for f in surface}
     )
     for f in surface:

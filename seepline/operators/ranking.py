@@ -41,34 +41,37 @@ class OrderedGroups:
     def parts(self) -> list[str]:
         return self.keys + [SEGMENT]
 
-    def totals(self, df: DataFrame, aggs: dict[str, tuple[str, Column]]) -> DataFrame:
-        """Add totals over the whole group to each of its rows."""
-        whole = W.partitionBy(*self.keys)
-        pieces = df.groupBy(*self.parts).agg(*[_MERGE[k](c).alias(n) for n, (k, c) in aggs.items()])
-        pieces = pieces.withColumns({n: _MERGE[k](n).over(whole) for n, (k, _) in aggs.items()})
-        return join_on(df, pieces, self.parts)
-
-    def running(
+    def add(
         self,
         df: DataFrame,
-        order: list[Column],
-        aggs: dict[str, tuple[str, Column]],
+        order: list[Column] = (),
+        totals: dict[str, tuple[str, Column]] | None = None,
+        running: dict[str, tuple[str, Column]] | None = None,
         descending: bool = False,
     ) -> DataFrame:
-        """Add totals up to and including each row. ``order`` starts with the value the
-        groups are cut by; ``descending`` says that it runs downwards."""
-        here = W.partitionBy(*self.parts).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        """Add totals over the whole group, and totals up to and including each row.
+
+        ``order`` starts with the value the groups are cut by; ``descending`` says that it
+        runs downwards. Segments are summed up once for both, and their sums joined back.
+        """
+        totals, running = totals or {}, running or {}
+        whole = W.partitionBy(*self.keys)
         along = F.col(SEGMENT).desc() if descending else F.col(SEGMENT).asc()
-        before = W.partitionBy(*self.keys).orderBy(along).rowsBetween(W.unboundedPreceding, -1)
-        pieces = df.groupBy(*self.parts).agg(*[_MERGE[k](c).alias(f"_o_{n}") for n, (k, c) in aggs.items()])
+        before = whole.orderBy(along).rowsBetween(W.unboundedPreceding, -1)
+        here = W.partitionBy(*self.parts).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        pieces = df.groupBy(*self.parts).agg(
+            *[_MERGE[k](c).alias(n) for n, (k, c) in totals.items()],
+            *[_MERGE[k](c).alias(f"_o_{n}") for n, (k, c) in running.items()],
+        )
         pieces = pieces.withColumns(
-            {f"_o_{n}": F.coalesce(_MERGE[k](f"_o_{n}").over(before), F.lit(_EMPTY[k])) for n, (k, _) in aggs.items()}
+            {n: _MERGE[k](n).over(whole) for n, (k, _) in totals.items()}
+            | {f"_o_{n}": F.coalesce(_MERGE[k](f"_o_{n}").over(before), F.lit(_EMPTY[k])) for n, (k, _) in running.items()}
         )
-        local = df.withColumns({n: _MERGE[k](c).over(here) for n, (k, c) in aggs.items()})
+        local = df.withColumns({n: _MERGE[k](c).over(here) for n, (k, c) in running.items()}) if running else df
         return (
             join_on(local, pieces, self.parts)
-            .withColumns({n: _ADD[k](F.col(n), F.col(f"_o_{n}")) for n, (k, _) in aggs.items()})
-            .drop(*[f"_o_{n}" for n in aggs])
+            .withColumns({n: _ADD[k](F.col(n), F.col(f"_o_{n}")) for n, (k, _) in running.items()})
+            .drop(*[f"_o_{n}" for n in running])
         )
 
 

@@ -87,20 +87,17 @@ def _tally(df: DataFrame, keys: list[str], result: str, censored: str) -> _Tally
     )
     rows, groups = order_groups(counted, keys, "_v")
     c, n, v = F.col("_c"), F.col("_n"), F.col("_v")
-    rows = groups.totals(
+    rows = groups.add(
         rows,
-        {
+        [v.asc(), c.desc()],
+        totals={
             "n_obs": ("sum", n),
             "n_cens": ("sum", _count_if(c, n)),
             "max_unc": ("max", F.when(~c, v)),
             "min_all": ("min", v),
             "min_cens": ("min", F.when(c, v)),
         },
-    )
-    rows = groups.running(
-        rows,
-        [v.asc(), c.desc()],
-        {
+        running={
             "_ordinal": ("sum", F.lit(1).cast("long")),
             "_limits": ("sum", F.when(c, 1).otherwise(0).cast("long")),
             "_cens_upto": ("sum", _count_if(c, n)),
@@ -142,17 +139,17 @@ def _cohn(t: _Tally) -> DataFrame:
         )
     )
     limits, groups = order_groups(limits, t.keys, "lower_dl")
-    limits = groups.running(
+    limits = groups.add(
         limits,
         [F.col("lower_dl").asc()],
-        {"_a": ("sum", F.col("nuncen_above")), "_c_sum": ("sum", F.col("ncen_equal"))},
+        running={"_a": ("sum", F.col("nuncen_above")), "_c_sum": ("sum", F.col("ncen_equal"))},
     )
     limits = limits.withColumn("_a_before", F.col("_a") - F.col("nuncen_above")).withColumn(
         "nobs_below", F.col("_c_sum") + F.col("_a_before")
     )
     below = F.col("nobs_below") / (F.col("nuncen_above") + F.col("nobs_below"))
-    limits = groups.running(
-        limits, [F.col("lower_dl").desc()], {"_q": ("product", below)}, descending=True
+    limits = groups.add(
+        limits, [F.col("lower_dl").desc()], running={"_q": ("product", below)}, descending=True
     ).withColumn("prob_exceedance", F.lit(1.0) - F.col("_q"))
     following = limits.select(
         *t.keys,
@@ -271,8 +268,8 @@ def _in_order(t: _Tally, censored_rows: DataFrame) -> DataFrame:
     numbered = censored_rows.withColumn("_place", F.col("_c_before") + F.col("rank"))
     positions = numbered.select(*t.keys, F.col("plot_pos"))
     positions, groups = order_groups(positions, t.keys, "plot_pos")
-    positions = groups.running(
-        positions, [F.col("plot_pos").asc()], {"_place": ("sum", F.lit(1).cast("long"))}
+    positions = groups.add(
+        positions, [F.col("plot_pos").asc()], running={"_place": ("sum", F.lit(1).cast("long"))}
     ).select(*t.keys, "_place", "plot_pos")
     return join_on(numbered.drop("plot_pos"), positions, t.keys + ["_place"], "inner")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from seepline import vocab
 from seepline.operators import ions
+from suite import patches
 from suite.base import query
 
 c = F.col
@@ -117,8 +118,17 @@ def _channel(field: str, full: str, part: str) -> str:
 
 _RGB = [f"{f}_{x}" for f in ("cat", "an", "d") for x in "rgb"]
 _CHANNELS = {"r": ("0,5", "1,4"), "g": ("1,2", "0,3"), "b": ("3,4", "2,5")}
-query("piper_color", f"""WITH {_FRAC}, {_XY}, {_HUE}, sat AS (SELECT *, sqrt(greatest(0, 1-3*least(cat_ca,cat_mg,cat_nak))) AS s_cat, sqrt(greatest(0, 1-3*least(an_hco3,an_so4,an_cl))) AS s_an,
- sqrt(abs(d_x-{1 + _O!r}{_D})/0.5{_D}+abs(d_y-{_H + _OY!r}{_D})/{_H!r}{_D}) AS s_d FROM hue)
+_SAT_B = {
+    "cat": ("greatest(cat_ca,cat_mg,cat_nak)-least(cat_ca,cat_mg,cat_nak)", "1-greatest(cat_ca,cat_mg,cat_nak)-2*least(cat_ca,cat_mg,cat_nak)"),
+    "an": ("greatest(an_hco3,an_so4,an_cl)-least(an_hco3,an_so4,an_cl)", "1-greatest(an_hco3,an_so4,an_cl)-2*least(an_hco3,an_so4,an_cl)"),
+    "d": (f"abs(d_x-{1 + _O!r}{_D})/0.5{_D}", f"abs(d_y-{_H + _OY!r}{_D})/{_H!r}{_D}"),
+}
+_PATCHES = {
+    "cat": patches.field([(0.0, 0.0), (0.5, _H), (1.0, 0.0)], (0.5, _H / 3)), "an": patches.field([(0.0, 0.0), (0.5, _H), (1.0, 0.0)], (0.5, _H / 3)),
+    "d": patches.field([(-0.5, 0.0), (0.0, _H), (0.5, 0.0), (0.0, -_H)], (0.0, 0.0)),
+}
+query("piper_color", f"""WITH {_FRAC}, {_XY}, {_HUE}, bary AS (SELECT *, {', '.join(f'{x} AS {f}_b{i}' for f, pair in _SAT_B.items() for i, x in enumerate(pair, 1))} FROM hue),
+ sat AS (SELECT *, {', '.join(f'sqrt(greatest(0, {patches.sql(_PATCHES[f], f"{f}_b1", f"{f}_b2")})) AS s_{f}' for f in _SAT_B)} FROM bary)
  SELECT sampleid, {', '.join(f'round({_channel(f, *_CHANNELS[x])}, 6) AS {f}_{x}' for f in ('cat', 'an', 'd') for x in 'rgb')} FROM sat""")(
     lambda t: ions.piper(ions_in(t), color=True).select("sampleid", *[F.round(n, 6).alias(n) for n in _RGB])
 )

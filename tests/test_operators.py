@@ -112,9 +112,8 @@ def test_segments_agree_with_windows(spark):
 
     df = spark.range(500).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"), (F.col("id") * 7919 % 1009).cast("double").alias("v"))
     d, g = order_groups(df, ["k"], "v")
-    d = g.totals(d, {"t": ("sum", F.col("v")), "m": ("max", F.col("v"))})
-    d = g.running(d, [F.col("v").asc()], {"up": ("sum", F.lit(1))})
-    d = g.running(d, [F.col("v").desc()], {"down": ("sum", F.col("v"))}, descending=True)
+    d = g.add(d, [F.col("v").asc()], totals={"t": ("sum", F.col("v")), "m": ("max", F.col("v"))}, running={"up": ("sum", F.lit(1))})
+    d = g.add(d, [F.col("v").desc()], running={"down": ("sum", F.col("v"))}, descending=True)
     group = W.partitionBy("k")
     want = df.select("k", "v", F.sum("v").over(group), F.max("v").over(group), F.count("v").over(group.orderBy("v")), F.sum("v").over(group.orderBy(F.desc("v"))))
     assert rows(d.select("k", "v", "t", "m", "up", "down")) == rows(want)
