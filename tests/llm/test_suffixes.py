@@ -24,7 +24,10 @@ def brute(rows, length=200):
     return sorted(out, key=str)
 
 
-def test_against_brute_force(spark, frame, prose, monkeypatch):
+@pytest.mark.parametrize("hot", [16_384, 3])
+def test_against_brute_force(spark, frame, prose, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT_CONTEXTS", hot)
+    monkeypatch.setattr(suffixes, "_AT_ONCE", 500)
     rng = random.Random(1)
     passage = "".join(rng.choice("abcdefgé ") for _ in range(300))
     given = [(i, prose(i, 120) + (passage[i % 60 : 260 + i % 40] if i % 3 == 0 else "") + prose(100 + i % 11, 60)) for i in range(40)]
