@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seepline.session import checkpointed
+from seepline.session import checkpointed, fresh_path
 
 #: text that a Python task holds as objects at a time
 SLICE_BYTES = 4 << 20
@@ -27,6 +27,14 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def written(df: DataFrame, stem: str) -> DataFrame:
+    """``df`` as a compressed table in the shared folder, for intermediate rows that are many
+    and read more than once."""
+    path = fresh_path(df.sparkSession, stem)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_hash(text: Column | str = "text") -> Column:
     return F.xxhash64(text)
 

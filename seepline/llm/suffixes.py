@@ -10,12 +10,14 @@ bytes; an anchor with its starts is a *run*, and the bytes its strings span are
 1. Runs are counted by anchor hash (partial aggregates). An anchor that occurs once holds no
    repeat. If all contexts of an anchor are equal, all its strings repeat.
 2. Only anchors with different contexts need their strings compared, and of equal contexts
-   only one. Their suffixes are range-partitioned by their leading bytes, with splitters that
-   Spark samples; the digest of the whole string and its place follow in the order, so that a
-   string with very many places spreads over several buckets. A bucket orders its suffixes by
-   multikey quicksort (the next key is looked at only among equals) and compares neighbours;
-   the first and last string of each bucket are compared across the boundary.
-3. What repeats is joined back to all runs, merged into spans per document, and cut out.
+   only one. Contexts are range-partitioned by the leading bytes at their anchor, with
+   splitters that Spark samples. A bucket orders the suffixes of its contexts by multikey
+   quicksort (the next key is looked at only among equals) and compares neighbours.
+3. An anchor with more than ``HOT_CONTEXTS`` different contexts would fill a bucket alone. Its
+   suffixes are range-partitioned themselves, by leading bytes, digest and place, so that
+   even a string with very many places spreads; the first and last string of each bucket are
+   compared across the boundary.
+4. What repeats is joined back to all runs, merged into spans per document, and cut out.
 
 Contexts and strings count as equal if a 64-bit digest and the anchor hash, or the leading
 eight bytes, agree. NULL text is empty; rows with equal ``doc_id`` and text are places of
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seepline.llm.common import slices, text_hash, texts
+from seepline.llm.common import slices, text_hash, texts, written
 from seepline.session import checkpointed
 
 LENGTH = 200
@@ -39,7 +41,21 @@ GRAM = 32
 #: starts of one long text looked at in one go
 _PIECE = 1 << 22
 _BASE = 0x9E3779B97F4A7C15
-_SPLIT = 12  # a run's start and its number of starts share a long
+#: different contexts of one anchor that a bucket takes
+HOT_CONTEXTS = 16_384
+#: suffixes that a bucket orders at a time, or those of one anchor
+_AT_ONCE = 1_000_000
+# a run is packed into a long: its start, how far its anchor is from it, its number of starts
+_FIELD = 12
+_MASK = (1 << _FIELD) - 1
+
+
+def packed(start, offset, many):
+    return start << 2 * _FIELD | offset << _FIELD | many
+
+
+def unpacked(run: int) -> tuple[int, int, int]:
+    return run >> 2 * _FIELD, run >> _FIELD & _MASK, run & _MASK
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -72,10 +88,11 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Text number, first start (in ``data``), starts and anchor hash of every run."""
+    """Text number, first start (in ``data``), anchor's distance, starts and anchor hash of
+    every run."""
     gram = min(gram, length)
     if len(data) < length:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64))
     h = gram_hashes(data, gram)
     low = np.uint64((1 << 24) - 1)
     ranked = (h & ~low) | np.arange(len(h), dtype=np.uint64)
@@ -85,7 +102,7 @@ def runs_of(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, length: int
     start = begins[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     at = anchor[start]
     head = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (row[1:] != row[:-1])]) if len(row) else np.zeros(0, np.int64)
-    return row[head], start[head], np.diff(np.r_[head, len(row)]), h[at[head]]
+    return row[head], start[head], at[head] - start[head], np.diff(np.r_[head, len(row)]), h[at[head]]
 
 
 def _pieces(data: bytes, length: int) -> Iterator[tuple[int, bytes]]:
@@ -110,7 +127,7 @@ def _run_task(length: int, gram: int):
                 raw = b"".join(p for _, _, p in now)
                 sizes = np.array([len(p) for _, _, p in now], np.int64)
                 begins = np.cumsum(sizes) - sizes
-                row, start, many, anchor = runs_of(np.frombuffer(raw, np.uint8), begins, sizes, length, gram)
+                row, start, offset, many, anchor = runs_of(np.frombuffer(raw, np.uint8), begins, sizes, length, gram)
                 view, digest = memoryview(raw), xxhash.xxh3_64_intdigest
                 context = np.array([digest(view[s : s + n + length - 1]) for s, n in zip(start.tolist(), many.tolist(), strict=True)], np.uint64)
                 own = np.array([k for k, _, _ in now], np.int64)[row]
@@ -120,7 +137,7 @@ def _run_task(length: int, gram: int):
                 for i in range(0, len(row), 50_000):
                     j = slice(i, i + 50_000)
                     yield pa.RecordBatch.from_arrays(
-                        [ids[j], marks[j], pa.array(place[j] << _SPLIT | many[j]), pa.array(anchor[j].view(np.int64)), pa.array(context[j].view(np.int64))],
+                        [ids[j], marks[j], pa.array(packed(place[j], offset[j], many[j])), pa.array(anchor[j].view(np.int64)), pa.array(context[j].view(np.int64))],
                         names=["doc_id", "text_hash", "run", "anchor", "context"],
                     )
 
@@ -129,7 +146,7 @@ def _run_task(length: int, gram: int):
 
 def runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, text_hash, run, anchor, context`` of every run of every text."""
-    if length - gram + 1 >= 1 << _SPLIT:
+    if length > _MASK:
         raise ValueError("length is too large for the packed runs")
     rows = texts(docs).where(F.octet_length("text") >= length).select("doc_id", text_hash().alias("text_hash"), "text")
     return rows.mapInArrow(_run_task(length, gram), "doc_id long, text_hash long, run long, anchor long, context long")
@@ -151,8 +168,89 @@ def multikey_order(keys: list[np.ndarray]) -> np.ndarray:
     return order
 
 
+def _leading(raw: bytes) -> np.ndarray:
+    """The eight bytes from each position on (the last seven positions left out), as longs
+    that order like the bytes."""
+    heads = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), 8)
+    return (np.ascontiguousarray(heads).view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _context_task(length: int):
+    """The bytes of chosen runs, with the leading bytes at their anchor."""
+
+    def contexts(batches):
+        for part in slices(batches):
+            out: dict[str, list] = {k: [] for k in ("lead", "anchor", "context", "bytes")}
+            for text, chosen in zip(part["text"], part["chosen"], strict=True):
+                raw = text.encode()
+                for c in chosen:
+                    start, offset, many = unpacked(c["run"])
+                    at = start + offset
+                    out["lead"].append(int.from_bytes(raw[at : at + 8], "big") - (1 << 63))
+                    out["anchor"].append(c["anchor"])
+                    out["context"].append(c["context"])
+                    out["bytes"].append(raw[start : start + many + length - 1])
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(out[k], pa.int64()) for k in ("lead", "anchor", "context")), pa.array(out["bytes"], pa.binary())], names=list(out)
+            )
+
+    return contexts
+
+
+def repeated_offsets(rows: list[bytes], group: np.ndarray, length: int) -> list[np.ndarray]:
+    """Per context, where a string starts that some context of the same group holds too."""
+    import xxhash
+
+    digest = xxhash.xxh3_64_intdigest
+    counts = np.array([len(r) - length + 1 for r in rows], np.int64)
+    lead = np.concatenate([_leading(r)[:n] for r, n in zip(rows, counts, strict=True)])
+    whole = np.array([digest(v[i : i + length]) for r, n in zip(rows, counts, strict=True) for v in (memoryview(r),) for i in range(n)], np.uint64).view(np.int64)
+    owner = np.repeat(np.asarray(group, np.int64), counts)
+    order = multikey_order([lead, whole, owner])
+    same = (lead[order][1:] == lead[order][:-1]) & (whole[order][1:] == whole[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+    repeated = np.zeros(len(order), bool)
+    repeated[order] = np.r_[False, same] | np.r_[same, False]
+    ends = np.cumsum(counts)
+    return [np.flatnonzero(repeated[e - n : e]) for e, n in zip(ends, counts, strict=True)]
+
+
+def _group_task(length: int):
+    """Reads contexts sorted by anchor; orders the suffixes of whole anchors, some at a time."""
+
+    def offsets(batches):
+        held: list[tuple[int, int, bytes]] = []
+        size = 0
+        for batch in batches:
+            for anchor, context, raw in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "bytes")), strict=True):
+                if size >= _AT_ONCE and held[-1][0] != anchor:
+                    yield _offset_rows(held, length)
+                    held, size = [], 0
+                held.append((anchor, context, raw))
+                size += len(raw) - length + 1
+        if held:
+            yield _offset_rows(held, length)
+
+    return offsets
+
+
+def _offset_rows(held: list[tuple[int, int, bytes]], length: int) -> pa.RecordBatch:
+    found = repeated_offsets([r for _, _, r in held], np.array([a for a, _, _ in held], np.int64), length)
+    some = [i for i, f in enumerate(found) if len(f)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([held[i][0] for i in some], pa.int64()), pa.array([held[i][1] for i in some], pa.int64()), pa.array([_islands(found[i]) for i in some], pa.list_(pa.int32()))],
+        names=["anchor", "context", "offsets"],
+    )
+
+
+def _islands(offsets: np.ndarray) -> np.ndarray:
+    """Sorted offsets as packed runs ``first << 12 | many``."""
+    first = np.flatnonzero(np.r_[True, np.diff(offsets) > 1])
+    many = np.diff(np.r_[first, len(offsets)])
+    return (offsets[first] << _FIELD | many).astype(np.int32)
+
+
 def _suffix_task(length: int):
-    """The strings of chosen runs: leading bytes, digest, and whose they are."""
+    """The strings of chosen runs one by one: leading bytes, digest, and whose they are."""
 
     def suffixes(batches):
         import xxhash
@@ -161,14 +259,12 @@ def _suffix_task(length: int):
         for part in slices(batches):
             for text, chosen in zip(part["text"], part["chosen"], strict=True):
                 raw = text.encode()
-                view, data = memoryview(raw), np.frombuffer(raw, np.uint8)
+                view = memoryview(raw)
                 for c in chosen:
-                    at, n = c["run"] >> _SPLIT, c["run"] & ((1 << _SPLIT) - 1)
-                    heads = np.lib.stride_tricks.sliding_window_view(data[at : at + n + 7], 8)
-                    lead = np.ascontiguousarray(heads).view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)
+                    at, _, n = unpacked(c["run"])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(lead.view(np.int64)),
+                            pa.array(_leading(raw[at : at + n + 7])),
                             pa.array(np.array([digest(view[s : s + length]) for s in range(at, at + n)], np.uint64).view(np.int64)),
                             pa.array(np.full(n, c["anchor"], np.int64)),
                             pa.array(np.full(n, c["context"], np.int64)),
@@ -248,26 +344,48 @@ def repeated_strings(suffixes: DataFrame) -> DataFrame:
     return inside.unionByName(met).distinct()
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    return texts(docs).withColumn("text_hash", text_hash())
+
+
+def _same_row(rows: DataFrame, other: DataFrame):
+    return (rows["text_hash"] == other["text_hash"]) & rows["doc_id"].eqNullSafe(other["doc_id"])
+
+
+def _holding(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``text`` with the chosen runs of each document that has any."""
+    chosen = contexts.groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(F.struct("anchor", "context", "at.run")).alias("chosen"))
+    return rows.join(chosen, _same_row(rows, chosen)).select("text", "chosen")
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``doc_id, text_hash, marks``: for each text with a repeated string, where such strings
-    start, as packed runs ``start << 12 | starts``."""
+    """``doc_id, text_hash, marks``: for each text with a repeated string, the packed runs of
+    such strings' starts."""
     found = runs(docs, length, gram)
     anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("mixed")).where("n > 1")
-    marked = checkpointed(found.join(anchors.select("anchor", "mixed"), "anchor"))
+    marked = written(found.join(anchors.select("anchor", "mixed"), "anchor"), "runs")
     mixed = marked.where("mixed")
     contexts = mixed.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_hash", "run")).alias("at"))
-    contexts = checkpointed(contexts)
-    chosen = contexts.groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(F.struct("anchor", "context", "at.run")).alias("chosen"))
-    rows = texts(docs).withColumn("text_hash", text_hash())
-    same = (rows["text_hash"] == chosen["text_hash"]) & rows["doc_id"].eqNullSafe(chosen["doc_id"])
-    held = rows.join(chosen, same).select("text", "chosen")
-    suffixes = held.mapInArrow(_batched(_suffix_task(length)), "lead long, digest long, anchor long, context long, offset int")
-    strings = repeated_strings(suffixes).groupBy("anchor", "context").agg(F.collect_list("offset").alias("offsets"))
+    contexts = written(contexts, "contexts")
+    rows = keyed(docs)
+    hot = checkpointed(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS).select("anchor"))
+    some_hot = not hot.isEmpty()
+    usual = contexts.join(hot, "anchor", "left_anti") if some_hot else contexts
+    held = _holding(rows, usual).mapInArrow(_context_task(length), "lead long, anchor long, context long, bytes binary")
+    ranged = held.repartitionByRange("lead", "anchor").sortWithinPartitions("lead", "anchor", "context")
+    strings = ranged.select("anchor", "context", "bytes").mapInArrow(_group_task(length), "anchor long, context long, offsets array<int>")
+    if some_hot:
+        suffixes = _holding(rows, contexts.join(hot, "anchor", "left_semi"))
+        suffixes = suffixes.mapInArrow(_batched(_suffix_task(length)), "lead long, digest long, anchor long, context long, offset int")
+        many = repeated_strings(suffixes).groupBy("anchor", "context").agg(F.collect_list(F.shiftleft("offset", _FIELD) + 1).alias("offsets"))
+        strings = strings.unionByName(many)
     # of a context that occurs more than once every string repeats
     known = contexts.select("anchor", "context", (F.col("copies") > 1).alias("whole")).join(strings, ["anchor", "context"], "left")
     some = mixed.join(known.where("whole OR offsets IS NOT NULL"), ["anchor", "context"])
-    start = F.shiftright("run", _SPLIT)
-    single = F.transform(F.col("offsets"), lambda o: F.shiftleft(start + o, _SPLIT).bitwiseOR(F.lit(1)))
+    start = F.shiftright("run", 2 * _FIELD)
+    single = F.transform(
+        F.col("offsets"), lambda o: F.shiftleft(start + F.shiftright(o, _FIELD), 2 * _FIELD).bitwiseOR(o.bitwiseAND(F.lit(_MASK)).cast("long"))
+    )
     partial = some.select("doc_id", "text_hash", F.explode(F.when(F.col("whole"), F.array("run")).otherwise(single)).alias("run"))
     every = marked.where("NOT mixed").select("doc_id", "text_hash", "run").unionByName(partial)
     return every.groupBy("doc_id", "text_hash").agg(F.collect_set("run").alias("marks"))
@@ -276,8 +394,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 def covered(marks: list[int], length: int) -> list[tuple[int, int]]:
     """Maximal spans of bytes covered by strings of ``length`` that start at ``marks``."""
     out: list[tuple[int, int]] = []
-    for m in sorted(marks):
-        start, end = m >> _SPLIT, (m >> _SPLIT) + (m & ((1 << _SPLIT) - 1)) - 1 + length
+    for start, _, many in sorted(map(unpacked, marks)):
+        end = start + many - 1 + length
         if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], end))
         else:
@@ -288,9 +406,8 @@ def covered(marks: list[int], length: int) -> list[tuple[int, int]]:
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: the removed spans and the remaining bytes of each row."""
     marks = repeats(docs, length, gram)
-    rows = texts(docs).withColumn("text_hash", text_hash())
-    same = (rows["text_hash"] == marks["text_hash"]) & rows["doc_id"].eqNullSafe(marks["doc_id"])
-    met = rows.join(marks, same, "left").select(rows["doc_id"], "text", "marks")
+    rows = keyed(docs)
+    met = rows.join(marks, _same_row(rows, marks), "left").select(rows["doc_id"], "text", "marks")
 
     def cut(batches):
         for part in slices(batches):
