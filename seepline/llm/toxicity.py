@@ -5,8 +5,9 @@ them is toxic too. Linear classifiers are trained in numpy on the risk
 ``prior * R+(P) + max(0, R-(U) - prior * R-(P))``; where the last term would turn negative
 (a flexible model explaining unlabelled text away) its gradient is reversed.
 
-Features are the presence of words, word beginnings and word endings: invented or inflected
-insults share their stem, not their spelling. The sample that is fitted is bounded by
+Features are words, word beginnings and word endings, each present, in two or more and in
+three or more different words of the text: invented or inflected insults share their stem,
+not their spelling, and a stem that clean words share by chance is rarely met twice. The sample that is fitted is bounded by
 ``max_positives`` and ``max_unlabelled`` documents (rates by a hash of the id, so the bound
 holds in expectation); every text is scored, whole.
 """
@@ -14,6 +15,7 @@ holds in expectation); every text is scored, whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +33,7 @@ FEATURES = 512
 #: a feature must be more frequent among positives by so many standard errors
 LEAST_Z = 4.0
 AFFIXES = range(3, 8)
+LEVELS = 3
 _WORDS = re.compile(r"[^\W\d_]+")
 _CACHED_WORDS = 300_000
 
@@ -44,6 +47,12 @@ def word_features(word: str) -> list[str]:
     return out
 
 
+def text_features(text: str) -> set[str]:
+    """Features of all words, and those of two or three different words with a number before."""
+    counts = Counter(f for w in set(_WORDS.findall(text.lower())) for f in word_features(w))
+    return {f"{n}{f}" if n > 1 else f for f, many in counts.items() for n in range(1, min(many, LEVELS) + 1)}
+
+
 @dataclass(frozen=True)
 class Model:
     vocabulary: dict[str, int]
@@ -52,19 +61,22 @@ class Model:
 
     def scorer(self):
         """A function from text to probability, with a bounded cache of words."""
-        vocabulary, weights, bias, cache = self.vocabulary, self.weights.tolist(), self.bias, {}
+        weights, bias, cache = self.weights.tolist(), self.bias, {}
+        # a plain feature, and its numbers in one, two and three words
+        plain = sorted({f.lstrip("23") for f in self.vocabulary})
+        numbers = {f: [self.vocabulary.get(f"{n}{f}" if n > 1 else f) for n in range(1, LEVELS + 1)] for f in plain}
 
         def hits(text: str) -> set[int]:
-            found: set[int] = set()
+            counts: dict[str, int] = {}
             for word in set(_WORDS.findall(text.lower())):
                 known = cache.get(word)
                 if known is None:
                     if len(cache) >= _CACHED_WORDS:
                         cache.clear()
-                    known = cache[word] = tuple(vocabulary[f] for f in word_features(word) if f in vocabulary)
-                if known:
-                    found.update(known)
-            return found
+                    known = cache[word] = tuple(f for f in word_features(word) if f in numbers)
+                for f in known:
+                    counts[f] = counts.get(f, 0) + 1
+            return {i for f, n in counts.items() for i in numbers[f][:n] if i is not None}
 
         def score(text: str) -> float:
             z = bias + sum(weights[i] for i in sorted(hits(text)))
@@ -100,13 +112,10 @@ def _sample(docs: DataFrame, labels: DataFrame, max_positives: int, max_unlabell
 
 def _counted(batches):
     """Documents with each feature, for one task's share of the sample."""
-    from collections import Counter
-
     p, u, rows = Counter(), Counter(), [0, 0]
     for part in slices(batches):
         for text, is_p in zip(part["text"], part["p"], strict=True):
-            found = {f for w in set(_WORDS.findall(text.lower())) for f in word_features(w)}
-            (p if is_p else u).update(found)
+            (p if is_p else u).update(text_features(text))
             rows[is_p] += 1
     names = sorted(p.keys() | u.keys())
     for at in range(0, len(names), 20_000):

@@ -51,3 +51,11 @@ def test_odd_rows(spark, frame, labelled):
     none = toxicity.train(docs, labels.where("toxic = 0"))
     assert {r["score"] < 1e-9 for r in toxicity.score(odd, none).collect()} == {True}
     assert toxicity.score(odd, toxicity.train(docs.limit(0), labels.limit(0))).count() == 6
+
+
+def test_scorer_sees_the_training_features():
+    names = ["=vilenik", "^vil", "2^vil", "3^vil", "ost$", "2ost$"]
+    model = toxicity.Model({f: i for i, f in enumerate(names)}, np.arange(6.0), 0.0)
+    hits, _ = model.scorer()
+    for text in ("", "Vilenik vilenik", "vilenik vilenost VILA rost", "vila 23 most prost"):
+        assert {names[i] for i in hits(text)} == toxicity.text_features(text) & set(names)
