@@ -117,7 +117,7 @@ def close(a, b):
             assert p == pytest.approx(q, rel=1e-9, abs=1e-12), (x, y)
 
 
-@pytest.fixture(params=[1, 8, 37])
+@pytest.fixture(params=[2, 13])
 def partitions(spark, request):
     """Few groups to a partition, or many partitions to a group: the results are the same."""
     conf = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
