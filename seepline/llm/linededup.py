@@ -3,7 +3,8 @@
 Hashes of lines are range-partitioned by (hash, document): a very common line is spread over
 as many partitions as its documents fill, and within a partition the rows of a hash lie
 together in document and position order. Occurrences are reduced per (hash, document) there;
-per hash only a partial count and the largest document leave a partition. What is returned
+per hash only a partial count and the largest document leave a partition, and the answer
+meets the documents of a hash in several salted places. What is returned
 is one run-length bitmap of kept lines per document, no text.
 
 NULL text is one empty line. Rows without ``doc_id`` count for nothing and keep all lines.
@@ -20,6 +21,7 @@ from seepline.llm.common import text_hash, texts
 SPACE = " \t\n\x0b\x0c\r"
 MIN_CHARS = 20
 MIN_DOCS = 3
+SALTS = 8
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -48,8 +50,14 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     )
     ranged = hashed.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "at")
     held = ranged.groupBy("h1", "h2", "doc_id").agg(F.collect_list("at").alias("at"))
-    shared = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper")).where(F.col("docs") >= min_docs)
-    lost = held.join(shared, ["h1", "h2"]).where("doc_id <> keeper").select("doc_id", F.explode("at").alias("at"))
+    # the lines are counted too, so that both uses read the same columns of one exchange
+    totals = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"), F.sum(F.size("at")).alias("lines"))
+    shared = totals.where((F.col("docs") >= min_docs) & (F.col("lines") >= min_docs))
+    # the documents of a shared line meet its keeper in SALTS places; a salt that cannot be
+    # NULL needs no filter below the exchange, which so stays the one of the totals
+    salted = shared.select("h1", "h2", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    spread = held.withColumn("salt", F.coalesce(F.pmod("doc_id", F.lit(SALTS)).cast("int"), F.lit(0)))
+    lost = spread.join(salted, ["h1", "h2", "salt"]).where("doc_id <> keeper").select("doc_id", F.explode("at").alias("at"))
     per_text = lost.groupBy("doc_id", F.col("at.text_hash").alias("text_hash"), F.col("at.n").alias("n_lines")).agg(
         F.sort_array(F.collect_set(F.col("at.pos"))).alias("pos")
     )
