@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from seepline.session import checkpointed, fresh_path
 
 #: text that a Python task holds as objects at a time
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -12,7 +12,7 @@ import struct
 import unicodedata
 
 _LATIN = 0x250
-_CACHED = 400_000
+_CACHED = 200_000
 
 
 def _set(kind: str) -> str:

@@ -35,7 +35,7 @@ LEAST_Z = 4.0
 AFFIXES = range(3, 8)
 LEVELS = 3
 _WORDS = re.compile(r"[^\W\d_]+")
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 150_000
 
 
 def word_features(word: str) -> list[str]:
