@@ -1,9 +1,9 @@
 r"""Personal data by pattern, checksum and context (DataFrame operations only).
 
 Patterns propose spans, validators confirm them (part ranges, digit counts, Luhn for cards,
-mod 97 for account numbers), words around a span raise its
-score and others before it lower it. Spans of the
-base kinds are kept whatever their score; those of the added kinds from ``THRESHOLD`` on.
+mod 97 for account numbers), words around a span raise its score and others before it lower
+it. Spans of the base kinds are kept whatever their score; those of the added kinds from
+``THRESHOLD`` on.
 
 Positions come from marks: every match is wrapped in ``\x01`` (a ``\x01`` of the text counts
 as another sign first), the text is split there, and odd parts are matches. Starts are
