@@ -39,7 +39,7 @@ from seepline.session import checkpointed
 LENGTH = 200
 GRAM = 32
 #: starts of one long text looked at in one go
-_PIECE = 1 << 22
+_PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 #: different contexts of one anchor that a bucket takes
 HOT_CONTEXTS = 16_384
@@ -363,7 +363,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     such strings' starts."""
     found = runs(docs, length, gram)
     anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("mixed")).where("n > 1")
-    marked = written(found.join(anchors.select("anchor", "mixed"), "anchor"), "runs")
+    # a written table, so that adaptive execution can split the runs of a hot anchor
+    anchors = written(anchors.select("anchor", "mixed"), "anchors")
+    marked = written(found.join(anchors, "anchor"), "runs")
     mixed = marked.where("mixed")
     contexts = mixed.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_hash", "run")).alias("at"))
     contexts = written(contexts, "contexts")
@@ -379,15 +381,16 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         suffixes = suffixes.mapInArrow(_batched(_suffix_task(length)), "lead long, digest long, anchor long, context long, offset int")
         many = repeated_strings(suffixes).groupBy("anchor", "context").agg(F.collect_list(F.shiftleft("offset", _FIELD) + 1).alias("offsets"))
         strings = strings.unionByName(many)
-    # of a context that occurs more than once every string repeats
-    known = contexts.select("anchor", "context", (F.col("copies") > 1).alias("whole")).join(strings, ["anchor", "context"], "left")
-    some = mixed.join(known.where("whole OR offsets IS NOT NULL"), ["anchor", "context"])
-    start = F.shiftright("run", 2 * _FIELD)
+    # of a context that occurs more than once every string repeats; of others there is one
+    # run each, and its strings are those found in the buckets
+    whole = mixed.join(contexts.where("copies > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
+    alone = contexts.where("copies = 1").join(strings, ["anchor", "context"])
+    start = F.shiftright("at.run", 2 * _FIELD)
     single = F.transform(
         F.col("offsets"), lambda o: F.shiftleft(start + F.shiftright(o, _FIELD), 2 * _FIELD).bitwiseOR(o.bitwiseAND(F.lit(_MASK)).cast("long"))
     )
-    partial = some.select("doc_id", "text_hash", F.explode(F.when(F.col("whole"), F.array("run")).otherwise(single)).alias("run"))
-    every = marked.where("NOT mixed").select("doc_id", "text_hash", "run").unionByName(partial)
+    partial = alone.select("at.doc_id", "at.text_hash", F.explode(single).alias("run"))
+    every = marked.where("NOT mixed").unionByName(whole).select("doc_id", "text_hash", "run").unionByName(partial)
     return every.groupBy("doc_id", "text_hash").agg(F.collect_set("run").alias("marks"))
 
 
