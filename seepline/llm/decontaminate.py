@@ -7,6 +7,15 @@ one another. Shared q-grams are counted in diagonal bands of width ``2 * e + 1``
 by half, so each such place lies in one band whole; bands at or above the bound are aligned
 with a banded edit distance whose band covers them.
 
+An item is looked for whole and in parts: windows of ``window(m)`` characters, one every
+``STEPS`` of their length and one at the end, and its lines of ``LEAST_LINE`` or more. Each part
+is a passage of its own with its own budget and bound; its shared q-grams are counted where the
+item itself shares enough for one of its parts, and parts are aligned where the item is not
+found whole. An item counts if it is found whole, or
+if the parts found cover at least ``window(m)`` of its characters. So any run of 94 characters
+(58 of an item below 200) is found, and so are lines that together are as long as a window.
+Items not longer than a window must be found whole.
+
 Passages are taken in blocks of bounded size; every block's q-gram table is sent to the tasks
 and every document is held against all blocks.
 """
@@ -26,7 +35,13 @@ from seepline.llm.common import SLICE_BYTES, slices, texts
 Q = 8
 #: edits allowed for each character of a passage
 EDIT_RATE = 0.1
-#: characters of passages in one block, the bound of what is broadcast at a time
+#: characters of a window of items from so many characters on
+WINDOWS = ((200, 79), (0, 49))
+#: a window begins after this part of the one before it
+STEPS = 5
+#: the shortest line that is looked for on its own
+LEAST_LINE = 29
+#: characters of items in one block, the bound of what is broadcast at a time
 BLOCK_CHARS = 2_000_000
 #: shared q-grams, and candidate cells of the alignment, that a task looks at in one go
 _AT_ONCE = 2_000_000
@@ -65,73 +80,162 @@ def qgrams(points: np.ndarray, q: int) -> np.ndarray:
     return held
 
 
-def edits_allowed(m: int, q: int = Q, rate: float = EDIT_RATE) -> int:
+def edits_allowed(m: int, q: int = Q, rate: float = EDIT_RATE, least: int = 1) -> int:
     """The budget of a passage: ``rate`` of its length, and never so much that the lemma
-    asks for no shared q-gram at all."""
-    return max(0, min(int(rate * m), (m - q) // q))
+    asks for fewer than ``least`` shared q-grams."""
+    return max(0, min(int(rate * m), (m + 1 - least - q) // q))
+
+
+def window(m: int) -> int:
+    """Characters of the windows of an item of ``m`` characters."""
+    return next(w for least, w in WINDOWS if m >= least)
+
+
+def parts(text: str, points: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end, in the compared characters, of an item's windows and lines."""
+    m, w = len(points), window(len(points))
+    if m <= w:
+        return []
+    out = {(s, s + w) for s in [*range(0, m - w, w // STEPS + 1), m - w]}
+    at = 0
+    for line in text.split("\n"):
+        n = len(normal(line))
+        if LEAST_LINE <= n < m:
+            out.add((at, at + n))
+        at += n + (n > 0)
+    return sorted(out)
 
 
 class Block:
-    """Passages, their q-grams sorted by hash, and a bit table that sorts out most others."""
+    """Passages, their q-grams sorted by hash, and a bit table that sorts out most others.
+    With ``cut`` the items' parts are passages too."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, rate: float):
+    def __init__(self, items: list[tuple[int, str]], q: int, rate: float, cut: bool = False):
         self.q = q
-        kept = [(i, p) for i, p in ((i, normal(t)) for i, t in items) if len(p)]
+        whole = [(i, t, p) for i, t, p in ((i, t, normal(t)) for i, t in items) if len(p)]
+        spans = [(k, 0, len(p)) for k, (_, _, p) in enumerate(whole)]
+        spans += [(k, *span) for k, (_, t, p) in enumerate(whole) if cut for span in parts(t, p)]
+        kept = [(whole[k][0], whole[k][2][s:e]) for k, s, e in spans]
         self.ids = np.array([i for i, _ in kept], np.int64)
+        #: the text a passage belongs to, and its place there; the first passages are whole texts
+        self.spans = np.array(spans, np.int64).reshape(-1, 3)
+        self.whole = len(whole)
         self.points = [p for _, p in kept]
         self.sizes = np.array([len(p) for p in self.points], np.int64)
-        self.edits = np.array([edits_allowed(len(p), q, rate) for p in self.points], np.int64)
+        least = [1 if n < self.whole else q + 1 for n in range(len(kept))]
+        self.edits = np.array([edits_allowed(len(p), q, rate, k) for p, k in zip(self.points, least, strict=True)], np.int64)
         self.needed = np.maximum(1, self.sizes + 1 - q * (self.edits + 1))
-        grams = [qgrams(p, q) for p in self.points]
+        grams = [qgrams(p, q) for p in self.points[: self.whole]]
         self.hash = np.concatenate([*grams, np.zeros(0, np.uint64)])
         self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
         self.at = np.concatenate([*map(np.arange, map(len, grams)), np.zeros(0, np.int64)]).astype(np.int64)
         order = np.argsort(self.hash, kind="stable")
+        # the parts that hold each q-gram, in runs
+        base = np.cumsum([0, *map(len, grams)])
+        own, starts, ends = self.spans[self.whole :].T
+        held = np.maximum(0, ends - starts - q + 1)
+        gram = np.repeat(base[own] + starts, held) + np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+        by_gram = np.argsort(gram, kind="stable")
+        self.part = np.repeat(np.arange(self.whole, len(kept)), held)[by_gram].astype(np.int32)
+        self.parts = np.bincount(gram, minlength=len(self.hash))[order]
+        self.first_part = np.searchsorted(gram[by_gram], order).astype(np.int64)
+        # what all parts of a text have in common
+        self.part_edits, self.part_needed = np.zeros(self.whole, np.int64), np.full(self.whole, _FAR)
+        np.maximum.at(self.part_edits, own, self.edits[self.whole :])
+        np.minimum.at(self.part_needed, own, self.needed[self.whole :])
         self.hash, self.item, self.at = self.hash[order], self.item[order], self.at[order]
         self.table = np.zeros(1 << _BITS, bool)
         self.table[self.hash >> np.uint64(64 - _BITS)] = True
         #: passages shorter than a q-gram are looked up as they are
-        self.short = [(i, p) for i, p in zip(self.ids, self.points, strict=True) if len(p) < q]
+        self.short = [(i, p) for i, p in zip(self.ids[: self.whole], self.points, strict=False) if len(p) < q]
 
 
-def bands(block: Block, points: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Document, passage, first diagonal and width of each band with enough shared q-grams.
-    ``points`` holds the documents one after another, with a sign that no passage has between
-    them; they start at ``begins``."""
+def bands(block: Block, points: np.ndarray, begins: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Document, passage, first diagonal and width of each band with enough shared q-grams, of
+    whole texts and of parts. ``points`` holds the documents one after another, with a sign that
+    no passage has between them; they start at ``begins``."""
     grams = qgrams(points, block.q)
     place = np.flatnonzero(block.table[grams >> np.uint64(64 - _BITS)])
     first = np.searchsorted(block.hash, grams[place], "left")
     count = np.searchsorted(block.hash, grams[place], "right") - first
     place, first, count = place[count > 0], first[count > 0], count[count > 0]
     doc = np.searchsorted(begins, place, "right") - 1
-    keys, start, ends = [], 0, np.cumsum(count)
-    while start < len(place):
-        # one document is never cut, so that its votes are counted together
-        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _AT_ONCE, "right")))
-        stop = int(np.searchsorted(doc, doc[stop - 1], "right"))
+    whole, parted = [], []
+    for start, stop in _runs(doc, count):
         part = slice(start, stop)
-        row = np.repeat(np.arange(start, stop), count[part])
-        entry = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
+        row, entry = _spread(np.arange(start, stop), first[part], count[part])
         item, offset = block.item[entry], block.at[entry]
         here = place[row] - begins[doc[row]]
-        band = (here - offset) // (block.edits[item] + 1)
-        key = (doc[row] * len(block.ids) + item) << 32
-        key = np.concatenate([key + band, key + band - 1]) + (1 << 31)
-        # all votes first, as few bands have enough; then a place, or an offset, counts once
-        ranked = np.sort(key)
-        heads = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-        some, n = ranked[heads], np.diff(np.r_[heads, len(ranked)])
-        some = some[n >= block.needed[(some >> 32) % len(block.ids)]]
-        if len(some):
-            near = some[np.minimum(np.searchsorted(some, key), len(some) - 1)] == key
-            key, here, offset = key[near], np.tile(here, 2)[near], np.tile(offset, 2)[near]
-            both = np.minimum(_distinct(key, here), _distinct(key, offset))
-            keys.append(some[both >= block.needed[(some >> 32) % len(block.ids)]])
+        pair = doc[row] * block.whole + item
+        whole.append(_enough(pair, here, offset, block.edits[item], lambda p: block.needed[p % block.whole]))
+        # a part has its q-grams in one band of the text, too
+        key = _keys(pair, here - offset, block.part_edits[item])
+        some, n = _tally(key)
+        some = some[n >= block.part_needed[(some >> 32) % block.whole]]
+        near = _among(key, some).reshape(2, -1).any(axis=0)
+        own, entry, here = doc[row[near]], entry[near], here[near]
+        for a, b in _runs(own, block.parts[entry]):
+            line, at = _spread(np.arange(a, b), block.first_part[entry[a:b]], block.parts[entry[a:b]])
+            passage = block.part[at].astype(np.int64)
+            offset = block.at[entry[line]] - block.spans[passage, 1]
+            pairs, pair = np.unique(own[line] * len(block.ids) + passage, return_inverse=True)
+            found = _enough(pair, here[line], offset, block.edits[passage], lambda p, pairs=pairs: block.needed[pairs[p] % len(block.ids)])
+            parted.append((pairs[found[0]], found[1]))
+    return _candidates(block, whole, block.whole), _candidates(block, parted, len(block.ids))
+
+
+def _runs(doc: np.ndarray, count: np.ndarray):
+    """Start and end of runs of rows with about ``_AT_ONCE`` counts; one document is never cut,
+    so that its votes are counted together."""
+    start, ends = 0, np.cumsum(count)
+    while start < len(doc):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _AT_ONCE, "right")))
+        stop = int(np.searchsorted(doc, doc[stop - 1], "right"))
+        yield start, stop
         start = stop
-    key = np.concatenate([*keys, np.zeros(0, np.int64)])
-    item = (key >> 32) % max(1, len(block.ids))
-    step = block.edits[item] + 1
-    return (key >> 32) // max(1, len(block.ids)), item, ((key & 0xFFFFFFFF) - (1 << 31)) * step, 2 * step - 1
+
+
+def _spread(row: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row ``count`` times, with the numbers from ``first`` on."""
+    out = np.repeat(row, count)
+    return out, np.repeat(first, count) + np.arange(len(out)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _keys(pair: np.ndarray, diagonal: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """The two bands of each vote."""
+    key, band = pair << 32, diagonal // (edits + 1)
+    return np.concatenate([key + band, key + band - 1]) + (1 << 31)
+
+
+def _tally(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    ranked = np.sort(key)
+    heads = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]][: len(ranked)])
+    return ranked[heads], np.diff(np.r_[heads, len(ranked)])
+
+
+def _among(key: np.ndarray, some: np.ndarray) -> np.ndarray:
+    return some[np.minimum(np.searchsorted(some, key), len(some) - 1)] == key if len(some) else np.zeros(len(key), bool)
+
+
+def _enough(pair: np.ndarray, here: np.ndarray, offset: np.ndarray, edits: np.ndarray, needed) -> tuple[np.ndarray, np.ndarray]:
+    """Pair and band of the bands with as many shared q-grams as ``needed`` says of a pair."""
+    key = _keys(pair, here - offset, edits)
+    # all votes first, as few bands have enough; then a place, or an offset, counts once
+    some, n = _tally(key)
+    some = some[n >= needed(some >> 32)]
+    if len(some):
+        near = _among(key, some)
+        key, here, offset = key[near], np.tile(here, 2)[near], np.tile(offset, 2)[near]
+        both = np.minimum(_distinct(key, here), _distinct(key, offset))
+        some = some[both >= needed(some >> 32)]
+    return some >> 32, (some & 0xFFFFFFFF) - (1 << 31)
+
+
+def _candidates(block: Block, found: list[tuple[np.ndarray, np.ndarray]], ids: int) -> tuple[np.ndarray, ...]:
+    pair, band = (np.concatenate([*(f[k] for f in found), np.zeros(0, np.int64)]) for k in range(2))
+    passage = pair % max(1, ids)
+    step = block.edits[passage] + 1
+    return pair // max(1, ids), passage, band * step, 2 * step - 1
 
 
 def _distinct(key: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -198,25 +302,49 @@ def banded_distances(block: Block, points: np.ndarray, begins: np.ndarray, sizes
 
 
 def find(block: Block, documents: list[str]) -> list[tuple[int, int, int, int, int]]:
-    """``document number, item, start, end, edits`` of the best place of each passage found;
-    places count in the compared characters."""
+    """``document number, item, start, end, edits`` of the best place of each item found; places
+    count in the compared characters."""
+    return [row[:5] for row in places(block, documents)]
+
+
+def places(block: Block, documents: list[str]) -> list[tuple[int, ...]]:
+    """As ``find``, with ``item_start, item_end, covered``: the part of the item that is there,
+    and how many of its characters the parts found cover. The whole item goes before its parts,
+    then the longest part, then the fewest edits."""
     plain = [normal(t) for t in documents]
     sizes = np.array([len(p) for p in plain], np.int64)
     begins = np.cumsum(sizes + 1) - sizes - 1
     points = np.concatenate([x for p in plain for x in (p, np.zeros(1, np.uint32))]) if plain else np.zeros(0, np.uint32)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    if len(block.ids) and len(points):
-        found = bands(block, points, begins)
-        for c, edits, start, end in banded_distances(block, points, begins, sizes, found).T.tolist():
-            key = (int(found[0][c]), int(block.ids[found[1][c]]))
-            best[key] = min(best.get(key, (edits, start, end)), (edits, start, end))
+    # of each text in each document: the best place of every passage found
+    seen: dict[tuple[int, int], dict[int, tuple[int, int, int]]] = {}
+    best: dict[tuple[int, int], tuple[int, ...]] = {}
+    if block.whole and len(points):
+        for found in bands(block, points, begins):
+            own = block.spans[found[1], 0]
+            left = np.array([key not in seen for key in zip(found[0].tolist(), own.tolist(), strict=True)], bool)
+            found, own = tuple(f[left] for f in found), own[left]
+            for c, edits, start, end in banded_distances(block, points, begins, sizes, found).T.tolist():
+                n, held = int(found[1][c]), seen.setdefault((int(found[0][c]), int(own[c])), {})
+                held[n] = min(held.get(n, (edits, start, end)), (edits, start, end))
+    for (d, k), held in seen.items():
+        covered = last = 0
+        for s, e in sorted(block.spans[list(held), 1:].tolist()):
+            covered, last = covered + max(0, e - max(s, last)), max(e, last)
+        m = int(block.sizes[k])
+        if covered < min(m, window(m)):
+            continue
+        n = min(held, key=lambda n: (-block.sizes[n], held[n]))
+        row = (n >= block.whole, -int(block.sizes[n]), *held[n], *block.spans[n, 1:].tolist(), covered)
+        key = (d, int(block.ids[n]))
+        best[key] = min(best.get(key, row), row)
     for item, passage in block.short:
         word = "".join(map(chr, passage))
         for d, p in enumerate(plain):
             at = f" {''.join(map(chr, p))} ".find(f" {word} ")
             if at >= 0:
-                best[d, int(item)] = (0, at, at + len(word))
-    return [(d, i, s, e, n) for (d, i), (n, s, e) in sorted(best.items())]
+                row = (False, -len(word), 0, at, at + len(word), 0, len(word), len(word))
+                best[d, int(item)] = min(best.get((d, int(item)), row), row)
+    return [(d, i, s, e, n, *at) for (d, i), (_, _, n, s, e, *at) in sorted(best.items())]
 
 
 def blocks(benchmark: DataFrame, limit: int | None = None):
@@ -236,23 +364,25 @@ def blocks(benchmark: DataFrame, limit: int | None = None):
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE) -> DataFrame:
-    """``doc_id, item_id, start, end, edits``: the best place of each passage found in each
-    document (places count in compared characters). Documents without a passage have no row.
+    """``doc_id, item_id, start, end, edits, item_start, item_end, covered``: the best place of
+    each item found in each document, whole or in parts (places count in compared characters).
+    Documents without an item have no row.
 
-    An edit budget is ``rate`` of the passage's length. Passages shorter than a q-gram must
+    An edit budget is ``rate`` of the length of the item or part. Items shorter than a q-gram must
     occur as whole words. NULL texts hold nothing; repeated rows give their rows each.
     """
-    schema = "doc_id long, item_id long, start long, end long, edits long"
+    names = ["doc_id", "item_id", "start", "end", "edits", "item_start", "item_end", "covered"]
+    schema = ", ".join(f"{n} long" for n in names)
     out = None
     for items in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def found(batches, sent=sent):
-            block = Block(sent.value, q, rate)
+            block = Block(sent.value, q, rate, cut=True)
             for part in slices(batches):
-                rows = [(part["doc_id"][hit[0]], *hit[1:]) for hit in find(block, part["text"])]
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["doc_id", "item_id", "start", "end", "edits"])
+                rows = [(part["doc_id"][hit[0]], *hit[1:]) for hit in places(block, part["text"])]
+                cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=names)
 
         one = texts(docs).mapInArrow(found, schema)
         out = one if out is None else out.unionByName(one)
@@ -260,7 +390,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDI
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE) -> DataFrame:
-    """The rows of ``docs`` that hold no passage, with their columns."""
+    """The rows of ``docs`` that hold no item, whole or in parts, with their columns."""
     for items in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(items)
         docs = docs.where(~F.pandas_udf(_holds(sent, q, rate), "boolean")(F.coalesce(F.col("text"), F.lit(""))))
@@ -272,7 +402,7 @@ def _holds(sent, q: int, rate: float):
 
     def holds(text: pd.Series) -> pd.Series:
         if not state:
-            state["block"] = Block(sent.value, q, rate)
+            state["block"] = Block(sent.value, q, rate, cut=True)
         hit = np.zeros(len(text), bool)
         at = 0
         while at < len(text):  # runs of rows of bounded size

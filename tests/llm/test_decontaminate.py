@@ -88,3 +88,39 @@ def test_qgrams_differ():
     pieces = [tuple(points[i : i + 8]) for i in range(len(points) - 7)]
     assert len(grams) == len(pieces) and len(set(grams.tolist())) == len(set(pieces))
     assert (dc.qgrams(points[100:200], 8) == grams[100:193]).all()
+
+
+def test_parts(spark, frame, prose):
+    """Half an item, an item that lost a line and one cut at a line are found; less than a window
+    of an item, and short lines alone, are not."""
+    lines = [prose(700 + i, 9)[:44].strip() for i in range(3)]
+    texts = [prose(600, 60), "\n".join(lines), prose(601, 24), f"{prose(602, 20)}\n{prose(603, 20)}"]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    half, side = len(texts[0]) // 2, [prose(610 + i, 15) for i in range(2)]
+    given = [
+        (1, f"{side[0]} {texts[0][:half]} {side[1]}"),
+        (2, f"{side[0]}\n{lines[0]}\n{side[1]}\n{lines[2]}"),
+        (3, f"{side[0]} {texts[2][-60:]}"),
+        (4, f"{side[0]} {texts[0][37:137]} {side[1]}"),
+        (5, f"{prose(603, 20)}\n{side[1]}"),
+        (6, f"{side[0]} {texts[0][:70]} {side[1]}"),
+        (7, f"{side[0]}\n{lines[0]}\n{side[1]}"),
+        (8, f"{side[0]} {texts[0]}"),
+    ]
+    got = {r["doc_id"]: r for r in dc.matches(frame(given), bench).collect()}
+    assert {d: r["item_id"] for d, r in got.items()} == {1: 0, 2: 1, 3: 2, 4: 0, 5: 3, 8: 0}
+    assert got[8]["covered"] == got[8]["item_end"] == len(dc.normal(texts[0])) and got[8]["edits"] == 0
+    assert got[2]["covered"] >= len(dc.normal(lines[0])) + len(dc.normal(lines[2]))
+    assert sorted(r["doc_id"] for r in dc.clean(frame(given), bench).collect()) == [6, 7]
+
+
+def test_any_run(prose):
+    """Every run of the stated length is found, wherever it lies, with one edit in ten."""
+    rng = random.Random(1)
+    for words, run in ((20, 58), (70, 94)):
+        item = "".join(map(chr, dc.normal(prose(620 + words, words))))
+        block = dc.Block([(1, item)], dc.Q, dc.EDIT_RATE, cut=True)
+        assert len(item) > run and (len(item) >= 200) == (run == 94)
+        at = range(0, len(item) - run + 1, 3)
+        docs = [f"{prose(630 + s, 12)} q{altered(rng, item[s : s + run], 3)}q {prose(640 + s, 12)}" for s in at]
+        assert len(dc.find(block, docs)) == len(at)
