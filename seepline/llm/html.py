@@ -34,9 +34,11 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+")
 #: content that is never shown as text
-_RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"}
-_HIDDEN = {"head", "svg", "select", "option", "button", "object", "canvas", "math", "audio", "video", "datalist"}
+_RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noframes"}
+_HIDDEN = {"svg", "select", "option", "button", "object", "canvas", "math", "audio", "video", "datalist"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+#: what leaves an open head open
+_HEAD = {"html", "head", "base", "basefont", "bgsound", "link", "meta", "title", "noscript", "noframes", "style", "script", "template"}
 _BLOCK = {
     "html", "body", "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset",
     "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "legend", "li", "main", "menu", "nav",
@@ -87,13 +89,21 @@ def _groups(attributes: str) -> frozenset[str]:
 def parse(source: str) -> Node:
     """The tree of block elements. Unclosed and misnested tags end where a browser would end
     them, near enough for text: a block ends an open paragraph, items and cells end their
-    like, an end tag without start is skipped, and the end of the source ends everything."""
+    like, an end tag without start is skipped, and the end of the source ends everything. Text, or
+    a tag that a head cannot hold, ends an open head; a later head tag is skipped."""
     root = Node("body", None)
     stack: list[tuple[str, Node]] = [("body", root)]
     now, link, hidden, at = root, 0, 0, 0
     lower = None
+    head = begun = False
 
     def text(value: str) -> None:
+        nonlocal head, begun
+        if not value.strip():
+            if head:
+                return
+        else:
+            head, begun = False, True
         if value and not hidden:
             value = entities.unescape(value)
             now.parts.append(value)
@@ -118,6 +128,8 @@ def parse(source: str) -> Node:
         at = m.end()
         if m.group(1):
             tag = m.group(1).lower()
+            if head and tag in ("head", "body", "html", "br"):
+                head, begun = False, True
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
             if depth and (tag in _BLOCK or not any(t in _BLOCK for t, _ in stack[depth + 1 :])):
                 close(depth)
@@ -129,6 +141,11 @@ def parse(source: str) -> Node:
         if not m.group(2):
             continue
         tag, attributes = m.group(2).lower(), m.group(3) or ""
+        if tag == "head":
+            head = not begun
+            continue
+        if tag not in _HEAD:
+            head, begun = False, True
         if tag in _RAW and not attributes.endswith("/"):
             lower = lower or source.lower()
             end = lower.find(f"</{tag}", at)

@@ -54,3 +54,13 @@ def test_extract(spark, model):
     assert Counter((r["page_id"], r["text"]) for r in got) == Counter({(1, "Head & line First paragraph of text. Second one."): 2, (None, "Head & line First paragraph of text. Second one."): 1, (2, ""): 1, (3, ""): 1})
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert html.extract(made.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("head", ["<head><title>t</title><meta charset=x><body>", "<head><title>t</title>\n", "<head><style>p {}</style><link href=x></body>", "<head></head><body><head>", "<title>t</title><body>"])
+def test_head_without_end(model, head):
+    """What a head cannot hold ends it; the article is the same as with </head>."""
+    rest = "<article><h1>Head line</h1><p>First paragraph of text, and more of it.</p><p>Second one.</p></article></body></html>"
+    want = model.texts([f"<html><head><title>t</title></head><body>{rest}"])[0]
+    assert want == "Head line First paragraph of text, and more of it. Second one."
+    assert model.texts([f"<html>{head}{rest}"])[0] == want
+    assert "".join(html.parse(f"<html>{head}loose words").parts).split() == ["loose", "words"]
