@@ -28,8 +28,9 @@ from seepline.llm.common import slices
 
 TRAINING_PAGES = 700
 
+#: quotes open a value only after "="; a tag whose quote never closes ends at its first ">"
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.DOTALL
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>|<([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)|=)*+)>""", re.DOTALL
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+")

@@ -64,3 +64,20 @@ def test_head_without_end(model, head):
     assert want == "Head line First paragraph of text, and more of it. Second one."
     assert model.texts([f"<html>{head}{rest}"])[0] == want
     assert "".join(html.parse(f"<html>{head}loose words").parts).split() == ["loose", "words"]
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<img alt=it's><p>two isn't lost</p>", ["two isn't lost"]),
+        ('<a b"c>one</a> "two" > three', ['one "two" > three']),
+        ("<p title='a > b' id = \"c>d\" lang=e>one", ["one"]),
+        ("<p title=a'b\"c>one's \"own\"", ["one's \"own\""]),
+        ('<p a= >one<p b=="x>">two', ["one", '">two']),
+        ("<p class=\"x>never closed", ["never closed"]),
+        ("<p a='' b=\"\" c/>one", ["one"]),
+    ],
+)
+def test_quotes_in_tags(source, want):
+    nodes = html._nodes(html.parse(source))
+    assert [" ".join("".join(n.parts).split()) for n in nodes if not any(isinstance(p, html.Node) for p in n.parts)] == want
