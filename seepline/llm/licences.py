@@ -1,6 +1,8 @@
 """Licence notices in documents: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line. Sparse one- and two-word features of the notices in ``NOTICES`` feed a
+A paragraph is a run of lines with words; words join across its line ends, and comment marks are
+none. Each line is classified on its own first, then the joined runs of the lines left: a notice
+may begin and end inside a line and be wrapped at any width. Sparse one- and two-word features of the notices in ``NOTICES`` feed a
 multinomial logistic regression in numpy. Its training rows are the notices with words lost,
 repeated or surrounded by other text, and as the *unknown* class a bounded sample of corpus
 lines and scrambled notices. A temperature and the threshold for a known family are
@@ -8,8 +10,9 @@ calibrated on rows kept from the fit. A prediction counts only if the words of a
 that family are found in order: the longest common subsequence with the paragraph must cover
 ``COVERAGE`` of the notice.
 
-Only paragraphs with a *telling* word (one of the notices that is no everyday word) are
-scored; the others are unknown by definition. NULL text has no paragraphs; repeated rows give
+Only lines and runs with a *telling* word (one of the notices that is no everyday word) are
+scored; the others are unknown by definition. Of the first and last line of a run the ``REACH``
+words next to it count, and the lines between have ``REACH`` words at most. NULL text has no paragraphs; repeated rows give
 their rows each; ties between families go to the first in ``NOTICES``.
 """
 
@@ -99,6 +102,10 @@ FAMILIES = (*NOTICES, "unknown")
 TELLING = frozenset(w for ts in _TEMPLATES.values() for t in ts for w in t) - EVERYDAY
 
 
+#: words of joined lines: twice the longest notice
+REACH = 2 * max(len(t) for ts in _TEMPLATES.values() for t in ts)
+
+
 def coverage(template: list[str], words: list[str]) -> float:
     """Share of the template's words that the paragraph has in the same order."""
     near = [w for w in words if w in set(template)]
@@ -144,6 +151,46 @@ class Model:
         return out
 
 
+def joined(lines: list[list[str]], telling: list[bool]) -> list[tuple[int, int, list[str]]]:
+    """First line, last line and words of the runs of two lines or more, without a line that has
+    no words, in which enough words of some notice stand near a telling word."""
+    out = []
+    ends = [i for i, w in enumerate(lines) if not w]
+    for begin, end in zip([0, *(e + 1 for e in ends)], [*ends, len(lines)], strict=True):
+        if end - begin < 2 or not any(telling[begin:end]):
+            continue
+        for i in range(begin, end - 1):
+            words, told, runs = lines[i][-REACH:], telling[i], []
+            inner = 0
+            for j in range(i + 1, end):
+                told = told or telling[j]
+                if told:
+                    runs.append((i, j, words + lines[j][:REACH]))
+                inner += len(lines[j])
+                if inner > REACH:
+                    break
+                words = words + lines[j]
+            # the last run holds all the others
+            if runs and _may_hold(runs[-1][2]):
+                out += [r for r in runs if _may_hold(r[2])]
+    return out
+
+
+def _may_hold(words: list[str]) -> bool:
+    """Whether some notice has enough of its words here, in any order."""
+    held = set(words)
+    return any(sum(w in held for w in t) >= COVERAGE * len(t) for ts in _TEMPLATES.values() for t in ts)
+
+
+def apart(runs: list[tuple[int, int, tuple[str, float, float]]]) -> list[tuple[int, int, tuple[str, float, float]]]:
+    """The runs that stay: the most similar first, then the shortest; two share an end line at most."""
+    out: list = []
+    for run in sorted(runs, key=lambda r: (-r[2][2], r[1] - r[0], r[0])):
+        if all(run[1] <= o[0] or run[0] >= o[1] for o in out):
+            out.append(run)
+    return sorted(out, key=lambda r: r[:2])
+
+
 def training_rows(lines: list[list[str]], seed: int = 7, variants: int = 24) -> list[tuple[list[str], int]]:
     """Varied notices with their family, and lines and scrambled notices as unknown."""
     rng = random.Random(seed)
@@ -217,24 +264,31 @@ def train(docs: DataFrame, max_lines: int = MAX_LINES) -> Model:
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, line, start, end, family, probability, similarity``: one row for each
-    paragraph with a confirmed family; positions are code points of the text."""
+    """``doc_id, line, start, end, family, probability, similarity``: one row for each line or
+    joined run of lines with a confirmed family; ``line`` is the first one, and positions are code
+    points of the text."""
     schema = "doc_id long, line int, start long, end long, family string, probability double, similarity double"
     telling = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, TELLING))) + r")\b", re.IGNORECASE)
 
+    def notices(text: str) -> list[tuple]:
+        lines = text.split("\n")
+        told = [telling.search(line) is not None for line in lines]
+        alone = [k for k, t in enumerate(told) if t]
+        words = [words_of(line) for line in lines]
+        got = [(k, k, c) for k, c in zip(alone, model.classify([words[k] for k in alone]), strict=True) if c[0] != "unknown"]
+        for k, _, _ in got:
+            words[k], told[k] = [], False
+        runs = joined(words, told)
+        some = [(i, j, c) for (i, j, _), c in zip(runs, model.classify([w for _, _, w in runs]), strict=True) if c[0] != "unknown"]
+        at = np.cumsum([0, *(len(line) + 1 for line in lines)]).tolist()
+        return [(i, at[i], at[j + 1] - 1, *c) for i, j, c in sorted(got + apart(some), key=lambda r: r[:2])]
+
     def found(batches):
         for part in slices(batches):
-            rows, held = [], []
+            out = []
             for doc, text in zip(part["doc_id"], part["text"], strict=True):
-                if not telling.search(text):
-                    continue
-                at = 0
-                for k, line in enumerate(text.split("\n")):
-                    if telling.search(line):
-                        rows.append((doc, k, at, at + len(line)))
-                        held.append(words_of(line))
-                    at += len(line) + 1
-            out = [(*r, *c) for r, c in zip(rows, model.classify(held), strict=True) if c[0] != "unknown"]
+                if telling.search(text):
+                    out += [(doc, *r) for r in notices(text)]
             cols = list(zip(*out, strict=True)) if out else [[]] * 7
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(

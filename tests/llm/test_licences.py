@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import pytest
 
@@ -36,3 +37,32 @@ def test_scan(frame, prose, model):
     got = {(r["doc_id"], r["line"], r["family"]) for r in licences.scan(frame(given), model).collect()}
     assert got == {(1, 1, "CC-BY-NC"), (None, 0, "MIT"), (1, 0, "MIT")}
     assert licences.scan(frame(given).limit(0), licences.train(frame(given).limit(0))).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""
+BSD = "Copyright (c) 2020, Some One. All rights reserved.\n\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+
+
+@pytest.mark.parametrize("width", [30, 50, 72, 78])
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// "])
+def test_wrapped(frame, prose, model, width, mark):
+    """Notices wrapped at any width and behind comment marks are found, where they stand."""
+    given = []
+    for k, text in enumerate((MIT, BSD, GPL)):
+        lines = [mark + w for p in text.split("\n") for w in (textwrap.wrap(p, width) or [""])]
+        given.append((k, "\n".join([prose(k, 12), mark.rstrip(), *lines, "", prose(k + 9, 30)])))
+    given.append((3, "\n".join(textwrap.wrap(prose(40, 300) + " the licensed public software", width))))
+    rows = licences.scan(frame(given), model).collect()
+    assert {(r["doc_id"], r["family"]) for r in rows} == {(0, "MIT"), (1, "BSD"), (2, "GPL")}
+    for r in rows:
+        lines = given[r["doc_id"]][1].split("\n")
+        assert r["start"] == sum(len(x) + 1 for x in lines[: r["line"]])
+        assert given[r["doc_id"]][1][r["start"] : r["end"] + 1].endswith("\n")
+    assert sum(r["doc_id"] == 0 for r in rows) >= 2
