@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seepline.llm import decontaminate, html, licences, linededup, packing, pii, quality, simhash, suffixes, toxicity
+from seepline.llm import decontaminate, html, licences, linededup, packing, pii, quality, simhash, suffixes, toxicity, trie
 from seepline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,41 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+@query(
+    "op11_prefix_trie",
+    r"""
+WITH t AS (
+ SELECT conv_id, sha256(length(r) || ':' || r || x) AS name, length(x) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || x)) AS i
+ FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL) s
+), c AS (
+ SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END))) % 6 AS h
+ FROM (SELECT DISTINCT conv_id FROM t) s
+), b AS (
+ SELECT c.conv_id, t.i, t.name, t.n FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+ UNION ALL SELECT c.conv_id, t.i, t.name, t.n FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h
+), p AS (
+ SELECT conv_id, row_number() OVER w AS d, n, list(name) OVER w AS seq FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+ UNION ALL SELECT conv_id, 0, 0, [] FROM c
+), v AS (
+ SELECT seq, d, min(conv_id) AS conv_id, count(*) AS m, (count(*) - 1) * max(n) AS own FROM p GROUP BY seq, d
+), k AS (
+ SELECT seq[1:d - 1] AS seq, count(*) AS kids FROM v WHERE d > 0 GROUP BY ALL
+), s AS (
+ SELECT seq[1:j] AS seq, count(*) FILTER (kids IS NULL) AS leaves, sum(own) AS saved
+ FROM (SELECT v.seq, v.own, k.kids, unnest(range(v.d + 1)) AS j FROM v LEFT JOIN k ON v.seq = k.seq) x GROUP BY ALL
+), e AS (
+ SELECT seq, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+ FROM (SELECT conv_id, arg_max(seq, d) AS seq FROM p GROUP BY conv_id) x GROUP BY seq
+)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, v.m AS n_convs, CAST(coalesce(k.kids, 0) AS BIGINT) AS n_children,
+ CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM v JOIN s ON s.seq = v.seq LEFT JOIN v u ON u.seq = v.seq[1:v.d - 1] AND v.d > 0 LEFT JOIN k ON k.seq = v.seq LEFT JOIN e ON e.seq = v.seq""",
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.nodes(trie.with_shared_heads(read(spark, folder, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
