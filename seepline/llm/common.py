@@ -56,6 +56,21 @@ def slices(batches: Iterable[pa.RecordBatch], sized: str = "text", most: int = S
             yield batch.slice(start).to_pydict()
 
 
+def place(column: str, bits: int) -> Column:
+    """Where ``bitmap`` marks a value: XXH64 of seed 42 modulo ``bits``, which is a power of two."""
+    return F.pmod(F.xxhash64(column), F.lit(bits))
+
+
+def bitmap(values: DataFrame, column: str, bits: int) -> bytes:
+    """A bitmap of ``bits`` bits with the places of all values: its size does not grow with
+    their number. Reduced to bytes in Spark; the driver reads one number per byte at most."""
+    marks = values.select(place(column, bits).alias("place")).selectExpr("cast(place div 8 as int) AS byte", "shiftleft(1, cast(place % 8 as int)) AS bit")
+    held = bytearray(bits // 8)
+    for row in marks.groupBy("byte").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        held[row["byte"]] = row["bits"]
+    return bytes(held)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, component``: the smallest node that links reach, for each node with a link.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seepline.llm import decontaminate, html, licences, linededup, packing, pii, quality, simhash, suffixes, toxicity, trie
+from seepline.llm import decontaminate, html, licences, linededup, minhash, packing, pii, quality, search, simhash, suffixes, toxicity, trie
 from seepline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,6 +152,57 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return trie.nodes(trie.with_shared_heads(read(spark, folder, "conversations")))
 
 
+@query(
+    "op12_minhash",
+    r"""
+WITH RECURSIVE w AS (
+ SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+ SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS ss FROM w
+), e AS MATERIALIZED (
+ SELECT doc_id, unnest(ss) AS sh FROM s
+), l AS MATERIALIZED (
+ SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM e x JOIN e y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL) p
+ JOIN s x ON x.doc_id = p.a JOIN s y ON y.doc_id = p.b WHERE 100 * p.c >= 85 * (len(x.ss) + len(y.ss) - p.c)
+), r AS (
+ SELECT doc_id AS a, doc_id AS c FROM s UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a
+)
+SELECT s.doc_id, CAST(len(s.ss) AS BIGINT) AS n_shingles, g.c AS component_id, s.doc_id = g.c AS kept
+FROM s JOIN (SELECT a, min(c) AS c FROM r GROUP BY a) g ON g.a = s.doc_id""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query(
+    "op13_lexical_search",
+    r"""
+WITH d AS (
+ SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), s AS (
+ SELECT CAST(count(*) FILTER (len(ts) > 0) AS BIGINT) AS n, CAST(sum(len(ts)) AS BIGINT) AS total FROM d
+), q AS (
+ SELECT item_id, term, count(*) AS mult FROM (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL) b) x GROUP BY ALL
+), p AS (
+ SELECT r, doc_id, m, term, count(*) AS tf FROM (
+  SELECT r, doc_id, 25 + (75 * len(ts) * s.n) // s.total AS m, unnest(ts) AS term FROM d, s) x
+ WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+ SELECT term, CAST(floor(1000 * ln((2 * s.n + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term) x, s
+), c AS (
+ SELECT q.item_id, p.r, p.doc_id, CAST(sum(q.mult * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * p.m))) AS BIGINT) AS score
+ FROM q JOIN p ON p.term = q.term JOIN w ON w.term = q.term WHERE p.doc_id IS NOT NULL GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+ SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c WHERE score > 0) x WHERE rank <= 10""",
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return search.rank(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
