@@ -1,8 +1,7 @@
 """Readers. Schemas are given, never inferred; columns of text files are found by name.
 
-Files of one source may list their columns in different orders, or have more or fewer. The
-first line of every file is read (one small job per file, no more than that line), files are
-grouped by header, and each group is read with its own order; only names reach the driver.
+Files of one source may list their columns in different orders, or have more or fewer:
+``headers.py`` finds each file's header, and rows of all files are read in one scan.
 
 Spark reads neither zip archives nor spreadsheets: portal downloads are landed unpacked or
 gzipped, workbooks as CSV. Uncompressed CSV splits; a gzip file is one task.
@@ -10,18 +9,16 @@ gzipped, workbooks as CSV. Uncompressed CSV splits; a gzip file is one task.
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seepline import schemas, vocab
+from seepline.sources.headers import Headers, read_headers
 
-#: the line of a row whose number of fields differs from the header's
+#: the line of a row whose number of fields differs from that of the widest header
 _RAW = "_raw_line"
 #: a text that no field holds
 _NOTHING = "\x00"
@@ -81,42 +78,23 @@ def read_base_tables(
     return out
 
 
-def header_groups(spark: SparkSession, paths: str | list[str], sep: str) -> dict[tuple[str, ...], list[str]]:
-    """Files by their column names, in the order of the first file of each group. Files
-    without a first line are left out."""
-    found = spark.read.format("binaryFile").load(paths).select("path", "length").where("length > 0").collect()
-    files = sorted(r["path"] for r in found)
-
-    def header(file: str) -> tuple[str, ...]:
-        line = spark.read.text(file).head(1)
-        names = next(csv.reader([line[0][0].removeprefix("\ufeff")], delimiter=sep), []) if line else []
-        return tuple(n.strip() for n in names)
-
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(header, files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for names, file in zip(headers, files, strict=True):
-        if names:
-            groups.setdefault(names, []).append(file)
-    return groups
-
-
-def _by_name(spark, paths, columns: list[str], types: dict[str, T.DataType], sep: str, read) -> DataFrame:
-    """Files read group by group; ``read(files, schema)`` gives a group's rows in its own
-    order. A column that a group lacks is NULL, a column nobody asked for is left out."""
-    parts = []
-    for names, files in header_groups(spark, paths, sep).items():
-        # a name that repeats in a header keeps its first place
-        own = [n if n not in names[:i] and n else f"_{i}" for i, n in enumerate(names)]
-        schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in own])
-        df = read(files, schema)
-        missing = {c: F.lit(None).cast(types.get(c, T.StringType())) for c in columns if c not in own}
-        kept = [c for c in df.columns if c not in own]
-        parts.append(df.withColumns(missing).select(*[F.col(f"`{c}`") for c in [*columns, *kept]]))
-    if not parts:
-        schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in columns])
-        return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
+def _by_place(spark: SparkSession, paths, sep: str, extra: list[T.StructField], **options) -> tuple[DataFrame, Headers, list[str]]:
+    """Rows of all files in one scan, their fields by place, with the number of their header
+    and the path and name of their file."""
+    headers = read_headers(spark, paths, sep)
+    places = [f"_{i}" for i in range(max(1, headers.width))]
+    schema = T.StructType([*(T.StructField(p, T.StringType()) for p in places), *extra])
+    rows = spark.read.schema(schema).options(sep=sep, header=True, **options).csv(paths)
+    rows = rows.withColumns({"_path": F.col("_metadata.file_path"), "_name": F.col("_metadata.file_name")})
+    return headers.of_row(rows, "_path"), headers, places
+
+
+def _named(rows: DataFrame, headers: Headers, places: list[str], columns: list[str], types: dict[str, T.DataType], more: dict[str, Column]) -> DataFrame:
+    if not headers.names:
+        schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in [*columns, *more]])
+        return rows.sparkSession.createDataFrame([], schema)
+    picked = [headers.column(c, places).try_cast(types.get(c, T.StringType())).alias(c) for c in columns]
+    return rows.select(*picked, *[v.alias(k) for k, v in more.items()])
 
 
 def read_lab_tsv(
@@ -131,30 +109,23 @@ def read_lab_tsv(
     Files named in ``exclude`` (without extension) are left out. A row with fewer fields than
     its header ends in NULLs; one with more fields is dropped, or else stops the read.
     """
-
-    def read(files, schema):
-        raw = F.col(_RAW)
-        fields = F.length(F.regexp_replace(raw, '"[^"]*"', "")) - F.length(F.regexp_replace(raw, '"[^"]*"|\t', "")) + 1
-        # the last condition never holds: a scan must read a column besides the raw line
-        fits = raw.isNull() | (fields <= len(schema)) | (F.col(f"`{schema.names[0]}`") == _NOTHING)
-        df = (
-            spark.read.schema(T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())]))
-            .options(sep="\t", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW)
-            # whether a row fits shows only when every column is parsed
-            .option("columnPruning", False)
-            .csv(files)
-            .withColumn("source_file", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", ""))
-        )
-        if drop_bad:
-            return df.where(fits).drop(_RAW)
-        stop = F.raise_error(F.concat(F.lit("malformed row, more fields than headers, in "), F.col("source_file")))
-        return df.withColumn("source_file", F.when(fits, F.col("source_file")).otherwise(stop.cast("string"))).drop(_RAW)
-
-    df = _by_name(spark, paths, columns, {}, "\t", read)
-    if "source_file" not in df.columns:
-        df = df.withColumn("source_file", F.lit(None).cast("string"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW, "columnPruning": False}  # all columns: whether a row fits
+    rows, headers, places = _by_place(spark, paths, "\t", [T.StructField(_RAW, T.StringType())], **options)
+    raw, width = F.col(_RAW), headers.pick([F.lit(len(names)) for names in headers.names]) if headers.names else F.lit(0)
+    counted = F.length(F.regexp_replace(raw, '"[^"]*"', "")) - F.length(F.regexp_replace(raw, '"[^"]*"|\t', "")) + 1
+    # a line is given for each row that has not as many fields as there are places; the last
+    # condition never holds: a scan must read a column besides that line
+    fits = (F.when(raw.isNull(), len(places)).otherwise(counted) <= width) | (F.col(places[0]) == _NOTHING)
+    file = F.regexp_replace("_name", r"\.[^.]*$", "")
     names = list(exclude)
-    return df.where(~F.col("source_file").isin(names)) if names else df
+    if names:
+        rows = rows.where(~file.isin(names))
+    if drop_bad:
+        rows = rows.where(fits)
+    else:
+        stop = F.raise_error(F.concat(F.lit("malformed row, more fields than headers, in "), file))
+        file = F.when(fits, file).otherwise(stop.cast("string"))
+    return _named(rows, headers, places, columns, {}, {"source_file": file})
 
 
 def _csv(
@@ -163,11 +134,8 @@ def _csv(
     """CSV with doubled quotes. Files split into many tasks unless ``multiline`` says that
     quoted fields hold line breaks; then each file is one task."""
     types = {c: T.DoubleType() for c in numbers}
-
-    def read(files, schema):
-        return spark.read.schema(schema).options(header=True, escape='"', multiLine=multiline).csv(files)
-
-    return _by_name(spark, path, columns, types, ",", read)
+    rows, headers, places = _by_place(spark, path, ",", [], escape='"', multiLine=multiline)
+    return _named(rows, headers, places, columns, types, {})
 
 
 def read_portal_results(
