@@ -150,49 +150,55 @@ class Block:
         self.short = [(i, p) for i, p in zip(self.ids[: self.whole], self.points, strict=False) if len(p) < q]
 
 
-def bands(block: Block, points: np.ndarray, begins: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
-    """Document, passage, first diagonal and width of each band with enough shared q-grams, of
-    whole texts and of parts. ``points`` holds the documents one after another, with a sign that
-    no passage has between them; they start at ``begins``."""
+def held_against(block: Block, points: np.ndarray, begins: np.ndarray, align) -> None:
+    """Calls ``align`` with the document, passage, first diagonal and width of each band with
+    enough shared q-grams: whole texts first, and then the parts of those that ``align`` does not
+    return as found whole, as ``document * block.whole + text``. ``points`` holds the documents one
+    after another, with a sign that no passage has between them; they start at ``begins``."""
     grams = qgrams(points, block.q)
     place = np.flatnonzero(block.table[grams >> np.uint64(64 - _BITS)])
     first = np.searchsorted(block.hash, grams[place], "left")
     count = np.searchsorted(block.hash, grams[place], "right") - first
     place, first, count = place[count > 0], first[count > 0], count[count > 0]
     doc = np.searchsorted(begins, place, "right") - 1
-    whole, parted = [], []
-    for start, stop in _runs(doc, count):
+    # all votes for one place of a passage are so near one another
+    reach = int((block.sizes + 3 * block.edits).max(initial=0)) + block.q
+    for start, stop in _runs(doc, place, count, reach):
         part = slice(start, stop)
         row, entry = _spread(np.arange(start, stop), first[part], count[part])
         item, offset = block.item[entry], block.at[entry]
         here = place[row] - begins[doc[row]]
         pair = doc[row] * block.whole + item
-        whole.append(_enough(pair, here, offset, block.edits[item], lambda p: block.needed[p % block.whole]))
+        done = align(_candidates(block, _enough(pair, here, offset, block.edits[item], lambda p: block.needed[p % block.whole]), block.whole))
         # a part has its q-grams in one band of the text, too
-        key = _keys(pair, here - offset, block.part_edits[item])
+        key, bits = _keys(pair, here - offset, block.part_edits[item])
         some, n = _tally(key)
-        some = some[n >= block.part_needed[(some >> 32) % block.whole]]
-        near = _among(key, some).reshape(2, -1).any(axis=0)
+        some = some[n >= block.part_needed[(some >> bits) % block.whole]]
+        near = _among(key, some).reshape(2, -1).any(axis=0) & ~np.isin(pair, done)
         own, entry, here = doc[row[near]], entry[near], here[near]
-        for a, b in _runs(own, block.parts[entry]):
+        for a, b in _runs(own, place[row[near]], block.parts[entry], reach):
             line, at = _spread(np.arange(a, b), block.first_part[entry[a:b]], block.parts[entry[a:b]])
             passage = block.part[at].astype(np.int64)
             offset = block.at[entry[line]] - block.spans[passage, 1]
             pairs, pair = np.unique(own[line] * len(block.ids) + passage, return_inverse=True)
             found = _enough(pair, here[line], offset, block.edits[passage], lambda p, pairs=pairs: block.needed[pairs[p] % len(block.ids)])
-            parted.append((pairs[found[0]], found[1]))
-    return _candidates(block, whole, block.whole), _candidates(block, parted, len(block.ids))
+            align(_candidates(block, (pairs[found[0]], found[1]), len(block.ids)))
 
 
-def _runs(doc: np.ndarray, count: np.ndarray):
-    """Start and end of runs of rows with about ``_AT_ONCE`` counts; one document is never cut,
-    so that its votes are counted together."""
+def _runs(doc: np.ndarray, place: np.ndarray, count: np.ndarray, reach: int):
+    """Start and end of runs of rows, in order of place, with about ``_AT_ONCE`` counts. A
+    document with more is cut into runs that overlap by ``reach`` places, so that the votes for
+    one place of a passage are together in one of them."""
     start, ends = 0, np.cumsum(count)
     while start < len(doc):
         stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _AT_ONCE, "right")))
-        stop = int(np.searchsorted(doc, doc[stop - 1], "right"))
+        first, last = (int(np.searchsorted(doc, doc[stop - 1], side)) for side in ("left", "right"))
+        if last == stop or first > start:
+            stop = stop if last == stop else first
+        else:
+            stop = min(last, max(stop, int(np.searchsorted(place, place[start] + 2 * reach, "right"))))
         yield start, stop
-        start = stop
+        start = stop if stop == len(doc) or doc[stop] != doc[stop - 1] else int(np.searchsorted(place, place[stop] - reach))
 
 
 def _spread(row: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,10 +207,13 @@ def _spread(row: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.n
     return out, np.repeat(first, count) + np.arange(len(out)) - np.repeat(np.cumsum(count) - count, count)
 
 
-def _keys(pair: np.ndarray, diagonal: np.ndarray, edits: np.ndarray) -> np.ndarray:
-    """The two bands of each vote."""
-    key, band = pair << 32, diagonal // (edits + 1)
-    return np.concatenate([key + band, key + band - 1]) + (1 << 31)
+def _keys(pair: np.ndarray, diagonal: np.ndarray, edits: np.ndarray) -> tuple[np.ndarray, int]:
+    """The two bands of each vote below its pair, and the bits that a band takes: as few as
+    these diagonals need, so that any number of pairs has room above them."""
+    band = diagonal // (edits + 1)
+    bits = int(np.abs(band).max(initial=0) + 2).bit_length() + 1
+    key = (pair << bits) + (1 << bits - 1)
+    return np.concatenate([key + band, key + band - 1]), bits
 
 
 def _tally(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,20 +228,20 @@ def _among(key: np.ndarray, some: np.ndarray) -> np.ndarray:
 
 def _enough(pair: np.ndarray, here: np.ndarray, offset: np.ndarray, edits: np.ndarray, needed) -> tuple[np.ndarray, np.ndarray]:
     """Pair and band of the bands with as many shared q-grams as ``needed`` says of a pair."""
-    key = _keys(pair, here - offset, edits)
+    key, bits = _keys(pair, here - offset, edits)
     # all votes first, as few bands have enough; then a place, or an offset, counts once
     some, n = _tally(key)
-    some = some[n >= needed(some >> 32)]
+    some = some[n >= needed(some >> bits)]
     if len(some):
         near = _among(key, some)
         key, here, offset = key[near], np.tile(here, 2)[near], np.tile(offset, 2)[near]
         both = np.minimum(_distinct(key, here), _distinct(key, offset))
-        some = some[both >= needed(some >> 32)]
-    return some >> 32, (some & 0xFFFFFFFF) - (1 << 31)
+        some = some[both >= needed(some >> bits)]
+    return some >> bits, (some & (1 << bits) - 1) - (1 << bits - 1)
 
 
-def _candidates(block: Block, found: list[tuple[np.ndarray, np.ndarray]], ids: int) -> tuple[np.ndarray, ...]:
-    pair, band = (np.concatenate([*(f[k] for f in found), np.zeros(0, np.int64)]) for k in range(2))
+def _candidates(block: Block, found: tuple[np.ndarray, np.ndarray], ids: int) -> tuple[np.ndarray, ...]:
+    pair, band = found
     passage = pair % max(1, ids)
     step = block.edits[passage] + 1
     return pair // max(1, ids), passage, band * step, 2 * step - 1
@@ -318,14 +327,20 @@ def places(block: Block, documents: list[str]) -> list[tuple[int, ...]]:
     # of each text in each document: the best place of every passage found
     seen: dict[tuple[int, int], dict[int, tuple[int, int, int]]] = {}
     best: dict[tuple[int, int], tuple[int, ...]] = {}
+    done: set[int] = set()
+
+    def align(found: tuple[np.ndarray, ...]) -> np.ndarray:
+        for c, edits, start, end in banded_distances(block, points, begins, sizes, found).T.tolist():
+            d, n = int(found[0][c]), int(found[1][c])
+            k = int(block.spans[n, 0])
+            held = seen.setdefault((d, k), {})
+            held[n] = min(held.get(n, (edits, start, end)), (edits, start, end))
+            if n < block.whole:
+                done.add(d * block.whole + k)
+        return np.fromiter(done, np.int64, len(done))
+
     if block.whole and len(points):
-        for found in bands(block, points, begins):
-            own = block.spans[found[1], 0]
-            left = np.array([key not in seen for key in zip(found[0].tolist(), own.tolist(), strict=True)], bool)
-            found, own = tuple(f[left] for f in found), own[left]
-            for c, edits, start, end in banded_distances(block, points, begins, sizes, found).T.tolist():
-                n, held = int(found[1][c]), seen.setdefault((int(found[0][c]), int(own[c])), {})
-                held[n] = min(held.get(n, (edits, start, end)), (edits, start, end))
+        held_against(block, points, begins, align)
     for (d, k), held in seen.items():
         covered = last = 0
         for s, e in sorted(block.spans[list(held), 1:].tolist()):

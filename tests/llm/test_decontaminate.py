@@ -124,3 +124,46 @@ def test_any_run(prose):
         at = range(0, len(item) - run + 1, 3)
         docs = [f"{prose(630 + s, 12)} q{altered(rng, item[s : s + run], 3)}q {prose(640 + s, 12)}" for s in at]
         assert len(dc.find(block, docs)) == len(at)
+
+
+def test_many_short_items_and_documents():
+    """More pairs of a document and an item than 32 bits hold."""
+    items = [(i, f"q{i:08d}") for i in range(200_000)]
+    block = dc.Block(items, dc.Q, dc.EDIT_RATE, cut=True)
+    text = "see q00000017 and q00199999 there"
+    docs = [""] * 15_990 + [text] + [""] * 9
+    one = {row[1:] for row in dc.find(block, [text])}
+    assert {row[0] for row in one} == {17, 199_999}
+    assert {row[1:] for row in dc.find(block, docs) if row[0] == 15_990} == one and len(dc.find(block, docs)) == 2
+
+
+def test_runs_are_cut_within_documents(monkeypatch, prose):
+    """Cutting the votes of a document changes nothing."""
+    rng = random.Random(3)
+    items = [(i, prose(700 + i, 40)) for i in range(4)] + [(9, "na " * 30)]
+    block = dc.Block(items, dc.Q, dc.EDIT_RATE, cut=True)
+    docs = []
+    for k in range(6):
+        parts = [prose(720 + k, 30)]
+        for _ in range(4):
+            text = rng.choice(items)[1]
+            parts += [altered(rng, text, rng.randint(0, 6)), text[: len(text) // 2], prose(rng.randrange(10**6), 20)]
+        docs.append(" ".join(parts))
+    want = dc.places(block, docs)
+    assert len(want) >= 12
+    for least in (1, 50, 700):
+        monkeypatch.setattr(dc, "_AT_ONCE", least)
+        assert dc.places(block, docs) == want
+
+
+def test_repetitive_text_is_bounded():
+    """A text that repeats what an item repeats: its votes are cut, and one place is enough."""
+    import tracemalloc
+
+    block = dc.Block([(1, "la " * 69 + "l"), (2, "lo " * 69 + "x")], dc.Q, dc.EDIT_RATE, cut=True)
+    text = "la " * 100_000
+    tracemalloc.start()
+    found = dc.find(block, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [row[1] for row in found] == [1] and peak < 1 << 30
