@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from seepline.llm.common import slices, texts
 
 MAX_LINES = 3_000
+#: characters of a training line; longer lines are cut, not shortened
+PIECE = 2_000
 COVERAGE = 0.7
 PRECISION = 0.99
 _WORDS = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
@@ -250,15 +252,18 @@ def fit(lines: list[list[str]], steps: int = 300, rate: float = 0.1, decay: floa
     return Model(vocabulary, w.astype(np.float64), float(temperature), float(min(levels, default=0.95)))
 
 
-def train(docs: DataFrame, max_lines: int = MAX_LINES) -> Model:
+def train(docs: DataFrame, max_lines: int = MAX_LINES, piece: int = PIECE) -> Model:
     """Fit with at most ``max_lines`` corpus lines as the unknown class; the draw is by hash of
-    the document's id, spread over about as many documents."""
+    the document's id, spread over about as many documents. A line of more than ``piece``
+    characters counts as several: it is cut, and every piece of it may be drawn."""
     rows = texts(docs)
     total = rows.count()
     grain = 1_000_000
     draw = F.pmod(F.xxhash64(F.lit(21), "doc_id", F.char_length("text")), F.lit(grain)) < F.lit(int(grain * min(1.0, max_lines / max(1, total))))
     line = rows.where(draw).select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
-    line = line.where(F.col("line").rlike("[A-Za-z0-9]")).select(F.left("line", F.lit(2000)).alias("line"), F.xxhash64(F.lit(22), "doc_id", "line").alias("at"))
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length("line"), F.lit(1)), F.lit(piece))
+    line = line.withColumn("start", F.explode(starts)).select("doc_id", F.substring("line", F.col("start"), F.lit(piece)).alias("line"))
+    line = line.where(F.col("line").rlike("[A-Za-z0-9]")).select("line", F.xxhash64(F.lit(22), "doc_id", "line").alias("at"))
     got = sorted(r["line"] for r in line.orderBy("at", "line").limit(max_lines).collect())
     return fit([w for w in (words_of(t) for t in got) if w])
 

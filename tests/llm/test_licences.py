@@ -66,3 +66,14 @@ def test_wrapped(frame, prose, model, width, mark):
         assert r["start"] == sum(len(x) + 1 for x in lines[: r["line"]])
         assert given[r["doc_id"]][1][r["start"] : r["end"] + 1].endswith("\n")
     assert sum(r["doc_id"] == 0 for r in rows) >= 2
+
+
+def test_long_lines_are_trained_on_whole(frame, prose, monkeypatch):
+    """Every part of a line may be drawn, and repeated rows may repeat."""
+    seen = []
+    monkeypatch.setattr(licences, "fit", lambda lines: seen.extend(lines))
+    text = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000))
+    licences.train(frame([(1, text), (2, "short line"), (2, "short line"), (3, None)]), max_lines=100, piece=500)
+    words = {w for line in seen for w in line}
+    assert {"wordaaa", licences.words_of(text)[-1], licences.words_of(text)[1500]} <= words
+    assert max(len(" ".join(line)) for line in seen) <= 510
