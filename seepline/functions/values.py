@@ -207,4 +207,5 @@ def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
     half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
     a = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2 * vocab.EARTH_RADIUS_MILES) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    # a point without coordinates has no distance: least() would pass over the NULL
+    return F.lit(2 * vocab.EARTH_RADIUS_MILES) * F.asin(F.sqrt(F.when(a > 1.0, 1.0).otherwise(a)))

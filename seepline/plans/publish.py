@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seepline.functions import places
 from seepline.operators import filters, joins, projection, reshape
+from seepline.sources.keyed import KeyedTable
 
 
 def prep_stations(stations: DataFrame, published: DataFrame) -> DataFrame:
@@ -34,3 +35,10 @@ def prep_result_activity(
     if stations is not None:
         rows = joins.senders_only(rows, stations)
     return projection.project_fields(rows, "Upload")
+
+
+def mark_published(table: KeyedTable, published: DataFrame) -> int:
+    """Set the flag of a stored table's rows whose key is published, as ``apply_inwqx`` does in
+    a projection; returns the table's new version. Parts without such a key are not read."""
+    keys = published.select(table.key).distinct().withColumn("inwqx", F.lit(1))
+    return table.merge(keys, ["inwqx"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from suite import base, censored, diagrams, exchange, jobs, relations, rules, shapes, tables  # noqa: F401
+from suite import base, censored, diagrams, exchange, jobs, relations, rules, shapes, tables, landed  # noqa: F401
 
 
 def queries():
