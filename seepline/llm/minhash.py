@@ -44,7 +44,7 @@ UNIT = 1024
 PIECE = 1 << 20
 #: bits of the filter of documents whose sets are fetched
 BITS = 1 << 24
-_WORDS = 200_000
+_WORDS = 50_000
 _CHUNK = 4096
 _SPACE = b" \t\n\v\f\r"
 _ODD = np.random.default_rng(5).integers(1 << 62, 1 << 63, SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
@@ -90,7 +90,7 @@ def shingles(text: bytes, words: Words) -> np.ndarray:
     if not n:
         return w
     if n < SHINGLE:
-        return _mixed((w * _ODD[:n]).sum(keepdims=True, dtype=np.uint64) + np.uint64(n) * _ODD[SHINGLE])
+        return _mixed((w * _ODD[:n]).sum(keepdims=True, dtype=np.uint64) + np.full(1, n, np.uint64) * _ODD[SHINGLE])
     total = np.zeros(n - SHINGLE + 1, np.uint64)
     for j in range(SHINGLE):
         total += w[j : n - SHINGLE + 1 + j] * _ODD[j]
@@ -335,6 +335,17 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     return checkpointed(rows.mapInArrow(_confirm_task(percent), "a long, b long"))
 
 
+def _labels(links: DataFrame, steps: int = 2) -> DataFrame:
+    """``cls, comp``: the least class within a few links of each linked one. Equal labels are
+    joined; joined ones may differ, which costs the second round a comparison and no more."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    label = both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp"))
+    for _ in range(steps):
+        near = both.join(label.select(F.col("a").alias("b"), "comp"), "b")
+        label = near.groupBy("a").agg(F.least("a", F.min("comp")).alias("comp"))
+    return label.withColumnRenamed("a", "cls")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row: the number of distinct shingles,
     the smallest ``doc_id`` that links reach, and whether it is the row's own.
@@ -352,14 +363,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, matches: int = MATC
     lists = written(posted(classes, matches).join(classes.select("cls", "n", "sig", "sketch"), "cls"), "lists")
 
     first = confirmed(docs, classes, _forest(lists, matches, percent), percent)
-    joined = checkpointed(components(first))
-    named = joined.select(F.col("node").alias("cls"), "component")
-    apart = lists.join(named, "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
-    rest = checkpointed(_apart(apart, matches, percent))
-    if not rest.isEmpty():
-        more = confirmed(docs, classes, rest, percent)
-        if not more.isEmpty():
-            joined = checkpointed(components(first.unionByName(more)))
+    apart = lists.join(checkpointed(_labels(first)), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    more = confirmed(docs, classes, checkpointed(_apart(apart, matches, percent)), percent)
+    joined = components(first.unionByName(more))
     whole = classes.join(joined, classes["cls"] == joined["node"], "left").select("digest", "rep", F.coalesce("component", "cls").alias("component"))
     least = whole.groupBy("component").agg(F.min("rep").alias("component_id"))
     answer = whole.join(least, "component").select("digest", "component_id", F.lit(True).alias("met"))
