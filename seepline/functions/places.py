@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -30,17 +31,35 @@ def marker_icon(c: Column) -> Column:
     return F.coalesce(lookup(c, vocab.MARKER_ICONS), F.lit("bullseye"))
 
 
-def match_station_rules(description: Column, rules=None, corrected: bool = False) -> Column:
+def required_texts(pattern: str) -> list[list[str]] | None:
+    """For each alternative of a rule's pattern, the texts that a match must hold; None where
+    the pattern uses more than alternatives, plain groups and ``.*?``."""
+    plain = pattern.replace(".*?", "\0")
+    grouped = re.search(r"\([^)]*\||\)\0?[*+?{]", plain)
+    if grouped or re.search(r"[\[\]{}+*?^$.\\]", plain):
+        return None
+    return [[t for t in re.split(r"[\0()]", part) if t] for part in plain.split("|")]
+
+
+def match_station_rules(
+    description: Column, rules=None, corrected: bool = False, capitals: Column | None = None, numbered: Column | None = None
+) -> Column:
     """Station id of the last rule whose pattern, or whose id, occurs in the description.
 
     The rules form one chain, last rule first, so each pattern is compiled once and a row
     stops at its first hit. ``corrected`` drops empty alternatives, which match any text.
+    ``capitals``, the description in capitals, and ``numbered``, whether it may hold an id, come
+    from an earlier step if given; then a pattern runs only on a row that holds the longest
+    text which one of its alternatives needs, and most rows hold those of few rules.
     """
     chain = None
     for pattern, station in reversed(vocab.STATION_RULES if rules is None else rules):
         if corrected:
             pattern = "|".join(p for p in pattern.split("|") if p)
         hit = description.rlike(f"(?i){pattern}|{station}")
+        needed = required_texts(pattern)
+        if capitals is not None and needed is not None and all(needed):
+            hit = any_of([*(capitals.contains(max(texts, key=len).upper()) for texts in needed), numbered]) & hit
         chain = F.when(hit, station) if chain is None else chain.when(hit, station)
     return chain
 

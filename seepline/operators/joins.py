@@ -17,6 +17,10 @@ from seepline.functions import places, values
 from seepline.operators import projection
 from seepline.operators.reshape import one_per_key
 
+#: station rules in one projection
+RULES_AT_ONCE = 22
+
+
 def _pick(df: DataFrame, names: list[str]) -> list[Column]:
     """Columns in the given order; a column the table lacks is NULL of its type."""
     have = set(df.columns)
@@ -176,9 +180,7 @@ def match_stations(
     All results of a sample share its description, so the patterns run once per distinct
     description, over a pass that reads no other column, and the answers are joined back.
     """
-    answers = _keys(lab, f"`{description}`").withColumn(
-        "_station", places.match_station_rules(F.col("_key"), corrected=corrected)
-    )
+    answers = match_stations_by_row(_keys(lab, f"`{description}`"), "_key", "_station", corrected)
     return (
         lab.join(answers, lab[f"`{description}`"] == answers["_key"], "left")
         .withColumn(column, F.col("_station"))
@@ -186,6 +188,24 @@ def match_stations(
     )
 
 
+def match_stations_by_row(rows: DataFrame, description: str, column: str, corrected: bool = False, rules=None) -> DataFrame:
+    """As ``match_stations``, on every row by itself and without a join.
+
+    A first step finds what the rules ask of a description before they look at it; the rules
+    follow in several steps, the last ones first, so that each is a method that gets compiled.
+    """
+    text, found = F.col(f"`{description}`"), F.col("_found")
+    rules = vocab.STATION_RULES if rules is None else rules
+    shortest = min((len(station) for _, station in rules), default=0)
+    numbered = text.rlike(f"[0-9]{{{shortest}}}") if all(station.isdigit() for _, station in rules) else F.lit(True)
+    rows = rows.withColumns({"_capitals": F.upper(text), "_numbered": numbered, "_found": F.lit(None).cast("string")})
+    for end in range(len(rules), 0, -RULES_AT_ONCE):
+        some = rules[max(0, end - RULES_AT_ONCE) : end]
+        hit = places.match_station_rules(text, some, corrected, F.col("_capitals"), F.col("_numbered"))
+        rows = rows.withColumn("_found", F.when(found.isNotNull(), found).otherwise(hit))
+    return rows.withColumn(column, found).drop("_capitals", "_numbered", "_found")
+
+
 def project_code(rows: DataFrame, stations: DataFrame, location: str = "monitoringlocationid") -> DataFrame:
     """Project of the network a station belongs to; NULL without a match."""
     coded = stations.select(

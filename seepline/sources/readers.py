@@ -173,3 +173,21 @@ def flatten_features(df: DataFrame, json_col: str, attributes: str | T.StructTyp
     schema = f"features ARRAY<STRUCT<attributes: STRUCT<{inner}>>>"
     parsed = df.select(F.from_json(F.col(json_col), schema).alias("_answer"))
     return parsed.select(F.explode("_answer.features").alias("_feature")).select("_feature.attributes.*")
+
+
+def read_features(spark: SparkSession, paths: str | list[str], attributes: str | T.StructType) -> DataFrame:
+    """Rows of ``features[].attributes`` in JSON answers of any size, read from their files.
+
+    The files are cut before each element while they are read, so that an answer is never one
+    row: a large one is many splits, and a task holds one element at a time. A text equal to
+    ``"attributes"`` among an element's values would end that element early; it stops the read.
+    """
+    inner = attributes if isinstance(attributes, str) else attributes.simpleString()[7:-1]
+    rows = spark.read.option("lineSep", '"attributes"').text(paths)
+    element = F.col("value").rlike(r"^\s*:\s*\{")
+    # what stands before a file's first element, of which an answer without elements is all
+    head = F.col("value").rlike("^[\\s\ufeff]*[{\\[]")
+    stop = F.raise_error(F.lit('a value equal to "attributes" in an answer')).cast("string")
+    text = F.when(element, F.regexp_replace("value", r"^\s*:\s*", "")).when(~head, stop)
+    # whatever follows the first object is not parsed
+    return rows.select(text.alias("_text")).where("_text IS NOT NULL").select(F.from_json("_text", inner).alias("_row")).select("_row.*")

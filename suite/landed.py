@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from seepline.operators import joins
+from seepline.operators import joins, reshape
 from seepline.plans import publish
 from seepline.session import fresh_path
-from seepline.sources import keyed, landing
-from suite import frames, relations, tables  # noqa: F401  whose SQL is used again
+from seepline.sources import buckets, keyed, landing, readers
+from suite import exchange, frames, relations, shapes, tables  # noqa: F401  whose SQL is used again
 from suite.base import ORACLES, query
 
 c = F.col
@@ -81,3 +82,30 @@ def _(t):
     path = fresh_path(t.spark, "by-place")
     landing.land_by_place(t.sites, path)
     return landing.landed_bbox(t.spark, path, -113.5, 38.0, -111.0, 40.5).select(*t.sites.columns)
+
+
+@same_rows("pivot_samples_bucketed", "pivot_samples")
+def _(t):
+    path = fresh_path(t.spark, "samples")
+    table = f"samples_{path.rsplit('-', 1)[1]}"
+    return reshape.pivot_samples(buckets.land_samples(shapes.long_majors(t), table, path, buckets=8))
+
+
+@same_rows("read_features", "flatten_features")
+def _(t):
+    """Answers landed as files, one for each task that writes them, and read element by element."""
+    feature = F.struct(F.struct("activityid", "monitoringlocationid", "temperature_c", "conduct_uscm").alias("attributes"))
+    path = fresh_path(t.spark, "answers")
+
+    def answers(batches):
+        first = True
+        for batch in batches:
+            lines = batch.column(0).to_pylist()
+            lead = '{"displayFieldName": "", "features": [' if first else ""
+            yield pa.RecordBatch.from_pydict({"value": [(lead if i == 0 else "") + line + "," for i, line in enumerate(lines)]})
+            first = False
+        if not first:
+            yield pa.RecordBatch.from_pydict({"value": ['{"geometry": null}]}']})
+
+    t.activities.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value")).mapInArrow(answers, "value string").write.text(path)
+    return readers.read_features(t.spark, path, "activityid STRING, monitoringlocationid STRING, temperature_c DOUBLE, conduct_uscm DOUBLE")

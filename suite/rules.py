@@ -292,11 +292,8 @@ def _(t):
 
 @query("match_station_rules_by_row", _RULES)
 def _(t):
-    return t.state_lab.select(
-        "sample_number", "description",
-        places.match_station_rules(c("description")).alias("station"),
-        places.match_station_rules(c("description"), corrected=True).alias("corrected"),
-    )
+    once = joins.match_stations_by_row(t.state_lab.select("sample_number", "description"), "description", "station")
+    return joins.match_stations_by_row(once, "description", "corrected", corrected=True)
 
 
 @query(

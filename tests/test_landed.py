@@ -1,5 +1,6 @@
 """Tables landed by date and place, and tables updated by key."""
 
+import json
 import math
 import random
 from datetime import date
@@ -8,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from seepline import vocab
-from seepline.operators import filters, joins
+from seepline.operators import filters, joins, reshape
 from seepline.plans import publish
-from seepline.sources import keyed, landing
+from seepline.sources import buckets, keyed, landing, readers
 
 c = F.col
 
@@ -235,3 +236,58 @@ def test_published_flags(spark, tmp_path):
     published = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "uniqueid string")
     publish.mark_published(held, published)
     assert rows(held.read()) == rows(joins.apply_inwqx(data, published, "uniqueid").select("uniqueid", "inwqx"))
+
+
+# --- by sample
+
+
+def test_a_pivot_of_buckets_moves_no_rows(spark, tmp_path):
+    names = ["Calcium", "Chloride", "Sodium", "Magnesium", "Nothing known"]
+    data = [(f"S{i % 300}" if i % 11 else None, f"L{i % 7}", i, names[i % 5], float(i % 97), None if i % 13 else "Not Detected") for i in range(4000)]
+    df = spark.createDataFrame(data, "sampleid string, monitoringlocationid string, sampledate int, characteristicname string, resultvalue double, resultdetectioncondition string")
+    held = buckets.land_samples(df, "test_samples", str(tmp_path / "samples"), buckets=4)
+    try:
+        wide = reshape.pivot_samples(held, "")
+        assert "Exchange" not in plan(wide) and "Exchange" in plan(reshape.pivot_samples(df, ""))
+        assert rows(wide) == rows(reshape.pivot_samples(df, ""))
+        # a lookup in another table that is dealt alike
+        stations = buckets.land_samples(df.select("sampleid", "sampledate").dropDuplicates(["sampleid"]), "test_dates", str(tmp_path / "dates"), buckets=4)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        met = wide.drop("sampledate").join(stations, "sampleid")
+        assert "Exchange" not in plan(met) and met.count() == wide.count()
+        assert held.count() + buckets.loose_rows(spark, str(tmp_path / "samples")).count() == len(data)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS test_samples")
+        spark.sql("DROP TABLE IF EXISTS test_dates")
+
+
+# --- answers
+
+
+def test_large_answers_are_read_by_element(spark, tmp_path):
+    odd = ['a "quoted" {brace}', "a, b]}", 'say \\"attributes\\": {', "", None, "é😀"]
+    features = [{"attributes": {"NAME": odd[i % 6], "N": i, "SUB": i / 4}, "geometry": {"x": i, "rings": [[1, 2]]}} for i in range(3000)]
+    plain = json.dumps({"displayFieldName": "", "fields": [{"name": "N"}], "features": features})
+    (tmp_path / "one.json").write_text(plain)
+    (tmp_path / "indented.json").write_text(json.dumps({"features": features[:50]}, indent=2, ensure_ascii=False))
+    (tmp_path / "none.json").write_text('{"features": []}')
+    (tmp_path / "empty.json").write_text("")
+    schema = "NAME STRING, N INT, SUB DOUBLE"
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = readers.read_features(spark, str(tmp_path), schema)
+        assert got.rdd.getNumPartitions() > 5
+        want = [(f["attributes"]["NAME"], f["attributes"]["N"], f["attributes"]["SUB"]) for f in [*features, *features[:50]]]
+        assert rows(got) == sorted(want, key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    text = spark.createDataFrame([(plain,)], "j string")
+    assert rows(readers.flatten_features(text, "j", schema)) == sorted(want[:3000], key=str)
+
+
+def test_an_answer_that_would_lose_an_element_stops(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"features": [{"attributes": {"NAME": "attributes", "N": 1}}]}')
+    with pytest.raises(Exception, match="equal to .attributes."):
+        readers.read_features(spark, str(tmp_path), "NAME STRING, N INT").collect()

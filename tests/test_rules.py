@@ -129,3 +129,29 @@ def test_colors(spark):
 def test_tables_are_complete():
     assert len(vocab.STATION_RULES) == 87 and len(vocab.STATION_NAMES) == 91
     assert len(vocab.PORTAL_RESULT_COLUMNS) == 63 and len(vocab.SYMBOLS) == 45
+
+
+def test_rules_by_row_equal_the_chain(spark):
+    """Descriptions made of pieces of the patterns, in any case, with ids and odd letters."""
+    import random
+
+    from seepline.operators import joins
+
+    rng = random.Random(8)
+    pieces = sorted({t for p, s in vocab.STATION_RULES for texts in places.required_texts(f"{p}|{s}") for t in texts})
+    made = {" ".join(rng.choice([str.upper, str.lower, str])(rng.choice(pieces)) for _ in range(rng.randint(1, 5))) for _ in range(3000)}
+    made |= {"", "ſp timpie", "clover ſp", "HUNTıNG", "straße 67 x 3499", "67\n3499", "38403040109281201", "x383040109281201", "nothing at all"}
+    rows = spark.createDataFrame([*((d,) for d in sorted(made)), (None,)], "d string")
+    for corrected in (False, True):
+        plain = rows.select("d", places.match_station_rules(c("d"), corrected=corrected).alias("s"))
+        both = joins.match_stations_by_row(rows, "d", "s", corrected)
+        assert both.columns == ["d", "s"]
+        want = {r["d"]: r["s"] for r in plain.collect()}
+        assert {r["d"]: r["s"] for r in both.collect()} == want and len(set(want.values())) > (15 if not corrected else 60)
+
+
+def test_required_texts():
+    assert places.required_texts("AM.*?FK|wl|") == [["AM", "FK"], ["wl"], []]
+    assert places.required_texts("(C-19-.*?4)31ada-.*?1") == [["C-19-", "4", "31ada-", "1"]]
+    for other in ("a(b|c)d", "a(bc)?d", "a+b", "a.b", "(a).*?b|(c)*", r"a\d", "[ab]", "a{2}"):
+        assert places.required_texts(other) is None
