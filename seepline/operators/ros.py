@@ -77,14 +77,25 @@ class _Tally:
         )
 
 
-def _tally(df: DataFrame, keys: list[str], result: str, censored: str) -> _Tally:
-    """Tally and order the measurements."""
+def tally(df: DataFrame, keys: list[str], result: str = "result", censored: str = "censorship") -> DataFrame:
+    """Equal measurements of a group counted: ``keys``, ``_v`` (value), ``_c`` (censored), ``_n``.
+
+    Tallies add up: the sum of ``_n`` over the tallies of parts of a table is the tally of all.
+    """
     value = F.col(result).cast("double")
-    counted = (
+    return (
         df.where(_measured(result, censored))
         .groupBy(*keys, value.alias("_v"), F.col(censored).alias("_c"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+
+
+def _tally(df: DataFrame, keys: list[str], result: str, censored: str) -> _Tally:
+    """Tally and order the measurements."""
+    return _ordered(tally(df, keys, result, censored), keys, result, censored)
+
+
+def _ordered(counted: DataFrame, keys: list[str], result: str, censored: str) -> _Tally:
     rows, groups = order_groups(counted, keys, "_v")
     c, n, v = F.col("_c"), F.col("_n"), F.col("_v")
     rows = groups.add(
@@ -369,7 +380,22 @@ def ros_impute(
     values (and lose censored values above all uncensored ones); in the others a censored
     value becomes a fraction of its limit. ``floor`` lifts results of the valid groups.
     """
-    t = _tally(df, keys, result, censored)
+    return impute_tally(tally(df, keys, result, censored), result, censored, keys, substitution, floor, transform, max_fraction, min_uncensored)
+
+
+def impute_tally(
+    counted: DataFrame,
+    result: str,
+    censored: str,
+    keys: list[str],
+    substitution: float = 0.5,
+    floor: float | None = None,
+    transform="log",
+    max_fraction: float = 0.8,
+    min_uncensored: int = 2,
+) -> DataFrame:
+    """As ``ros_impute``, from measurements that are tallied already."""
+    t = _ordered(counted, keys, result, censored)
     modelled = (F.col("n_cens") > 0) & _valid(max_fraction, min_uncensored)
 
     def lifted(c: Column) -> Column:

@@ -4,8 +4,9 @@ A keyed table is a folder with ``data/run=<id>/part=<n>`` (rows) and ``log/versi
 every part, the run that holds it). An update reads the parts that its keys fall in and no
 others, joins the changes, writes those parts under a new run, and last appends one log file.
 The file that a Spark job commits appears by a single rename, so readers see all of an update
-or nothing of it, and an update that fails at any point leaves the table as it was. Parts of
-earlier versions stay until they are removed by hand, and can be read by ``version``.
+or nothing of it, and an update that fails at any point leaves the table as it was. An update may
+carry a note, such as the name of a delivery. Parts of earlier versions stay until they are
+removed by hand, and can be read by ``version``.
 
 There must be one writer at a time. Only the log, a row per part, reaches the driver.
 """
@@ -13,7 +14,7 @@ There must be one writer at a time. Only the log, a row per part, reaches the dr
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,6 +26,7 @@ from seepline.operators.reshape import one_per_key
 
 #: parts by hash of the key
 PARTS = 64
+_LOG = "part int, run string, version long, note string"
 
 
 def by_hash(parts: int = PARTS) -> Callable[[Column], Column]:
@@ -51,13 +53,34 @@ class KeyedTable:
         """The first version; a table that is there already is an error."""
         run = self._write(rows)
         held = {r["part"]: run for r in self._stored(run).select("part").distinct().collect()}
-        self._commit(1, held or {-1: run}, "errorifexists")
+        self._commit(1, held or {-1: run}, "errorifexists", None)
 
     def versions(self) -> list[int]:
         return sorted(r["version"] for r in self._log().select("version").distinct().collect())
 
-    def read(self, version: int | None = None) -> DataFrame:
-        return self._rows(self._state(self.versions()[-1] if version is None else version)).drop("part")
+    def notes(self) -> set[str]:
+        return {r["note"] for r in self._log().select("note").distinct().collect()} - {None}
+
+    def read(self, version: int | None = None, parts: Iterable[int] | None = None) -> DataFrame:
+        """The rows, or those of some parts, now or in an earlier version."""
+        state = self.state(version)
+        return self._rows(state if parts is None else {p: state[p] for p in parts if p in state}).drop("part")
+
+    def state(self, version: int | None = None) -> dict[int, str]:
+        """For every part, the run that holds it."""
+        return self._state(self.versions()[-1] if version is None else version)
+
+    def parts_of(self, rows: DataFrame) -> set[int]:
+        """The parts that rows with this table's key fall in."""
+        return {r["part"] for r in rows.select(self._part(F.col(self.key)).alias("part")).distinct().collect()}
+
+    def replace(self, parts: set[int], rows: DataFrame, note: str | None = None) -> int:
+        """Put ``rows``, all of which belong to ``parts``, in place of what those parts hold;
+        returns the new version."""
+        version = self.versions()[-1]
+        run = self._write(rows)
+        self._commit(version + 1, self._state(version) | dict.fromkeys(parts, run), "append", note)
+        return version + 1
 
     def merge(self, changes: DataFrame, update: list[str], insert: bool = False) -> int:
         """Take the columns ``update`` of rows whose key is in ``changes`` from there, and with
@@ -71,7 +94,7 @@ class KeyedTable:
         wanted = [f.name for f in self.schema.fields if f.name in changes.columns] if insert else [self.key, *(c for c in update if c != self.key)]
         given = one_per_key(changes.where(F.col(self.key).isNotNull()).select(*wanted), [self.key])
         given = given.withColumn("part", self._part(F.col(self.key)))
-        touched = {r["part"] for r in given.select("part").distinct().collect()}
+        touched = self.parts_of(given)
         if not insert:
             touched &= set(state)
         if not touched:
@@ -87,9 +110,7 @@ class KeyedTable:
             taken = F.when(here & there, other).otherwise(own) if field.name in update else own
             return (F.when(here, taken).otherwise(other) if insert else taken).cast(field.dataType).alias(field.name)
 
-        run = self._write(met.select(*map(value, self.schema.fields)))
-        self._commit(version + 1, state | dict.fromkeys(touched, run), "append")
-        return version + 1
+        return self.replace(touched, met.select(*map(value, self.schema.fields)))
 
     def _part(self, key: Column) -> Column:
         return F.coalesce(F.when(key.isNotNull(), self.part(key)).cast("int"), F.lit(-1))
@@ -107,7 +128,7 @@ class KeyedTable:
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*paths)
 
     def _log(self) -> DataFrame:
-        return self.spark.read.schema("part int, run string, version long").parquet(f"{self.root}/log")
+        return self.spark.read.schema(_LOG).parquet(f"{self.root}/log")
 
     def _state(self, version: int) -> dict[int, str]:
         return {r["part"]: r["run"] for r in self._log().where(F.col("version") == version).collect()}
@@ -122,6 +143,6 @@ class KeyedTable:
         # names of columns as they are given: of a file, only those that are asked for are read
         return self._stored(*runs).where(reduce(lambda a, b: a | b, current)).drop("run")
 
-    def _commit(self, version: int, state: dict[int, str], mode: str) -> None:
-        rows = self.spark.createDataFrame([(p, r, version) for p, r in sorted(state.items())], "part int, run string, version long")
+    def _commit(self, version: int, state: dict[int, str], mode: str, note: str | None) -> None:
+        rows = self.spark.createDataFrame([(p, r, version, note) for p, r in sorted(state.items())], _LOG)
         rows.coalesce(1).write.mode(mode).parquet(f"{self.root}/log")

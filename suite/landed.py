@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seepline.operators import joins, reshape
 from seepline.plans import publish
+from seepline.plans.censored import CensoredStore
 from seepline.session import fresh_path
 from seepline.sources import buckets, keyed, landing, readers
-from suite import exchange, frames, relations, shapes, tables  # noqa: F401  whose SQL is used again
+from suite import censored, exchange, frames, relations, shapes, tables  # noqa: F401  whose SQL is used again
 from suite.base import ORACLES, query
 
 c = F.col
@@ -109,3 +111,15 @@ def _(t):
 
     t.activities.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value")).mapInArrow(answers, "value string").write.text(path)
     return readers.read_features(t.spark, path, "activityid STRING, monitoringlocationid STRING, temperature_c DOUBLE, conduct_uscm DOUBLE")
+
+
+@same_rows("ros_impute_deliveries", "ros_impute")
+def _(t):
+    """The measurements in two deliveries: the second changes the groups it has rows of."""
+    keys = T.StructType([t.censored.schema[k] for k in censored.KEYS])
+    store = CensoredStore(t.spark, fresh_path(t.spark, "censored"), keys, parts=4)
+    store.create()
+    first = F.pmod(F.xxhash64("result", "censorship"), F.lit(3)) > 0
+    store.add(t.censored.where(first), "first")
+    store.add(t.censored.where(~first), "second")
+    return censored._round(store.read(), "final")
