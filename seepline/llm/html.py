@@ -16,6 +16,8 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -48,6 +50,8 @@ _BLOCK = {
 #: a start tag ends an open element of these names, up to the given boundary
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
          "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+#: any block ends an open paragraph, up to these
+_P_ENDS = ({"p"}, {"td", "th", "li", "div", "section", "article", "table"})
 _TAGS = ("p", "h1", "h", "li", "list", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "table", "quote", "figure", "text", "other")
 _TAG_GROUP = {t: t for t in _TAGS} | {
     **{f"h{i}": "h" for i in range(2, 7)}, "ul": "list", "ol": "list", "dl": "list", "menu": "list", "dt": "li", "dd": "li", "blockquote": "quote", "pre": "quote",
@@ -94,6 +98,9 @@ def parse(source: str) -> Node:
     a tag that a head cannot hold, ends an open head; a later head tag is skipped."""
     root = Node("body", None)
     stack: list[tuple[str, Node]] = [("body", root)]
+    # where in the stack each name stands, and where blocks do
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
     now, link, hidden, at = root, 0, 0, 0
     lower = None
     head = begun = False
@@ -113,15 +120,29 @@ def parse(source: str) -> Node:
 
     def close(depth: int) -> None:
         nonlocal now, link, hidden
-        for tag, _ in stack[depth:]:
+        while len(stack) > depth:
+            tag, _ = stack.pop()
             link -= tag == "a"
             hidden -= tag in _HIDDEN
-        del stack[depth:]
+            if tag:
+                places[tag].pop()
+                if tag in _BLOCK:
+                    blocks.pop()
         now = stack[-1][1]
 
-    size = len(source)
+    def opened(tag: str, node: Node) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        if tag in _BLOCK:
+            blocks.append(len(stack))
+        stack.append((tag, node))
+
+    def innermost(names: Iterable[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    size, last = len(source), source.rfind(">")
     while at < size:
-        m = _TOKEN.search(source, at)
+        # beyond the last ">" no tag ends
+        m = _TOKEN.search(source, at) if at <= last else None
         if not m:
             text(source[at:] if "<" not in source[at:] else re.sub(r"<[a-zA-Z/!][^>]*\Z", "", source[at:]))
             break
@@ -131,13 +152,14 @@ def parse(source: str) -> Node:
             tag = m.group(1).lower()
             if head and tag in ("head", "body", "html", "br"):
                 head, begun = False, True
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if depth and (tag in _BLOCK or not any(t in _BLOCK for t, _ in stack[depth + 1 :])):
+            depth = innermost((tag,))
+            if depth and (tag in _BLOCK or not blocks or blocks[-1] < depth):
                 close(depth)
             elif depth:  # an inline element that blocks have split: only its own name ends
                 link -= tag == "a"
                 hidden -= tag in _HIDDEN
                 stack[depth] = ("", stack[depth][1])
+                places[tag].pop()
             continue
         if not m.group(2):
             continue
@@ -160,27 +182,17 @@ def parse(source: str) -> Node:
                 text(" ")
             continue
         if tag in _BLOCK:
-            names = {tag: _ENDS[tag]} if tag in _ENDS else {}
-            for ends, until in names.values():
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in until:
-                        break
-                    if stack[i][0] in ends:
-                        close(i)
-                        break
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ("td", "th", "li", "div", "section", "article", "table"):
-                    break
-                if stack[i][0] == "p":
-                    close(i)
-                    break
+            for ends, until in (*([_ENDS[tag]] if tag in _ENDS else []), _P_ENDS):
+                ended = innermost(ends)
+                if ended > innermost(until):
+                    close(ended)
             child = Node(tag, now, _groups(attributes), now.depth + 1)
             if not hidden:
                 now.parts.append(child)
-            stack.append((tag, child))
+            opened(tag, child)
             now = child
         elif not attributes.endswith("/"):
-            stack.append((tag, now))
+            opened(tag, now)
             link += tag == "a"
             hidden += tag in _HIDDEN
     return root
@@ -238,20 +250,30 @@ def features(nodes: list[Node]) -> np.ndarray:
         own[id(node)] = (chars, words, links, stops, tags + 1, paragraphs + (node.tag == "p"), longest, items + (node.tag == "li"))
     total = max(1, own[id(nodes[0])][0])
     rows: dict[int, list[float]] = {}
+    # of each node's children: how many, how many of each tag, the most characters; places come in order
+    families: dict[int, tuple[int, Counter, int]] = {}
+    placed: Counter = Counter()
     before = 0
     out = []
     for node in nodes:
         chars, words, links, stops, tags, paragraphs, longest, items = own[id(node)]
         parent = node.parent if node.parent is not None and id(node.parent) in rows else None
-        around = [p for p in parent.parts if isinstance(p, Node)] if parent else [node]
-        place = next((i for i, p in enumerate(around) if p is node), 0)
-        alike = sum(p.tag == node.tag for p in around)
+        family = id(parent) if parent else id(node)
+        if not parent:
+            around, same, largest, place = 1, Counter([node.tag]), chars, 0
+        else:
+            if family not in families:
+                children = [p for p in parent.parts if isinstance(p, Node)]
+                families[family] = (len(children), Counter(p.tag for p in children), max(own[id(p)][0] for p in children if id(p) in own))
+            (around, same, largest), place = families[family], placed[family]
+            placed[family] += 1
+        alike = same[node.tag]
         group = _TAG_GROUP.get(node.tag, "other")
         row = [float(group == t) for t in _TAGS] + [float(g in node.groups) for g in _GROUPS]
         row += [
             float(node.depth), np.log1p(chars), np.log1p(words), links / max(1, chars), stops / max(1, words), chars / tags, float(paragraphs), float(longest),
-            items / tags, chars / total, before / total, float(len(around)), place / len(around), float(alike), float(len(node.parts)),
-            float(chars >= max(own[id(p)][0] for p in around if id(p) in own)),
+            items / tags, chars / total, before / total, float(around), place / around, float(alike), float(len(node.parts)),
+            float(chars >= largest),
         ]
         rows[id(node)] = row
         if parent:
