@@ -3,7 +3,8 @@
 Sizes are whole numbers up to the capacity, so the whole instance is a histogram of at most
 ``capacity`` counts. The driver reduces and packs that histogram, never the items: a group of
 equal bins is one record with a count, and every step places a whole run of equal items.
-Items then find their place by their rank within their size.
+Items then find their place by their rank within their size; items that fill a sequence need
+no rank and are numbered where they lie.
 
 Reduction (Martello and Toth): a small set of items that dominates every other set containing
 its largest item is fixed for good. Here: an item alone if nothing fits beside it; an item
@@ -29,8 +30,8 @@ from seepline.llm.tokens import PieceEncoder
 from seepline.session import checkpointed
 
 CAPACITY = 2048
-#: pieces of one size are ranked within this many parts of it
-RANK_PARTS = 128
+#: pieces of one size are ranked in parts of about so many
+RANK_ROWS = 100_000
 
 
 @dataclass
@@ -188,35 +189,38 @@ def pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int
 def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int = CAPACITY, end: int = 0) -> DataFrame:
     """The pieces of ``docs`` with their ``sequence_id`` and ``offset``.
 
-    The driver gets one count per size (at most ``capacity``) and per size and part a count
-    (at most ``capacity * RANK_PARTS``). The run table that tasks search is bounded likewise:
-    each size adds at most two runs for every group of bins, and at most three groups.
+    The driver gets one count per size (fewer than ``capacity``) and one per part of a size (one
+    more for each ``RANK_ROWS`` pieces). The run table that tasks search is bounded by the sizes:
+    each adds at most two runs for every group of bins, and at most three groups.
     """
     cut = checkpointed(pieces(docs, tokenizer, capacity, end))
-    part = F.pmod(F.xxhash64("doc_id", "text_hash", "piece"), F.lit(RANK_PARTS)).cast("int")
-    dealt = cut.withColumn("part", part)
-    counts = dealt.groupBy(F.col("length").cast("int").alias("size"), "part").agg(F.count(F.lit(1)).alias("n")).collect()
-    histogram: dict[int, int] = {}
-    for r in sorted(counts, key=lambda r: (r["size"], r["part"])):
-        histogram[r["size"]] = histogram.get(r["size"], 0) + r["n"]
-    base = np.zeros((capacity + 1, RANK_PARTS), np.int64)
-    for r in counts:
-        base[r["size"], r["part"]] = r["n"]
-    base = np.cumsum(base, axis=1) - base
-    runs = np.array(plan(histogram, capacity).runs, np.int64).reshape(-1, 6)
+    rest = cut.where(F.col("length") < capacity)
+    histogram = {r["length"]: r["n"] for r in rest.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    many = {size: -(-n // RANK_ROWS) for size, n in histogram.items()}
+    parts = cut.sparkSession.createDataFrame(sorted(many.items()), "length long, parts long")
+    dealt = rest.join(parts, "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "text_hash", "piece"), F.col("parts"))).drop("parts")
+    # the pieces of a size in the parts before each part
+    first = np.cumsum([0, *(many.get(size, 0) for size in range(capacity))])
+    base = np.zeros(first[-1] + 1, np.int64)
+    for r in dealt.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")).collect():
+        base[first[r["length"]] + r["part"]] = r["n"]
+    base = np.cumsum(base) - base
+    base -= base[np.repeat(first, np.diff(np.r_[first, len(base)]))]
+    made = plan(histogram, capacity)
+    runs = np.array(made.runs, np.int64).reshape(-1, 6)
     runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
-    places = dealt.sparkSession.sparkContext.broadcast((base, runs))
+    places = cut.sparkSession.sparkContext.broadcast((first, base, runs))
     within = W.partitionBy("length", "part").orderBy("doc_id", "text_hash", "piece", "ids_crc32")
     ranked = dealt.withColumn("rank", F.row_number().over(within) - 1)
 
     def placed(batches):
-        base, runs = places.value
+        first, base, runs = places.value
         high = runs[:, 0] << 44 | runs[:, 1]
         for b in batches:
             if not b.num_rows:
                 continue
             size, part, rank = (b.column(c).to_numpy().astype(np.int64) for c in ("length", "part", "rank"))
-            rank = rank + base[size, part]
+            rank = rank + base[first[size] + part]
             run = runs[np.searchsorted(high, size << 44 | rank, "right") - 1]
             at = rank - run[:, 1]
             each = run[:, 3]
@@ -226,6 +230,10 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int =
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(
-        placed, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    )
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    shared = ranked.mapInArrow(placed, schema)
+    full = cut.where(F.col("length") == capacity).select(
+        "doc_id", "piece", "start", "length", "ids_crc32",
+        (F.monotonically_increasing_id() + made.bins).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+    )
+    return shared.unionByName(full)

@@ -115,9 +115,11 @@ def test_ids_equal_the_tokenizer():
         assert list(struct.unpack(f"<{len(raw) // 4}I", raw)) == reference.encode(text, add_special_tokens=False).ids, text
 
 
-def test_pack(frame, prose):
+@pytest.mark.parametrize("rank_rows", [100_000, 2])
+def test_pack(frame, prose, monkeypatch, rank_rows):
+    monkeypatch.setattr(packing, "RANK_ROWS", rank_rows)
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    given = [(i, prose(i, i * 7)) for i in range(40)] + [(100, None), (101, ""), (102, "word " * 30_000), (3, prose(3, 21)), (None, "x")]
+    given = [(i, prose(i, i * 7)) for i in range(40)] + [(100, None), (101, ""), (102, "word " * 30_000), (3, prose(3, 21)), (None, "x")] + [(200 + i, "same size") for i in range(60)]
     capacity = 256
     rows = packing.pack(frame(given), capacity=capacity).collect()
     want = Counter()
