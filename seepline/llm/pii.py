@@ -50,7 +50,7 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.6, ("phone", "tel", "call", "mobile", "fax", "telefon"), ("order", "version")),
     Kind(
         "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-        0.95, ("iban", "account", "konto", "cuenta", "compte", "bank"), base=False,
+        0.7, ("iban", "account", "konto", "cuenta", "compte", "bank"), ("order", "invoice", "part", "serial", "tracking"), base=False,
     ),
     Kind(
         "ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -175,5 +175,10 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def scores(spans: Column) -> Column:
+    """The scores of the spans in their order, with two decimals, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.format_number(s["score"], 2)), ",")
+
+
 def count(kind: str, spans: str = "spans") -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind))

@@ -81,6 +81,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         *[pii.count(k).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
         F.sha2(pii.joined(base), 256).alias("base_sha256"),
         pii.joined(F.col("spans")).alias("spans"),
+        pii.scores(F.col("spans")).alias("scores"),
     )
 
 

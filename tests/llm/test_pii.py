@@ -69,5 +69,19 @@ def test_context_moves_the_score(frame):
     assert score[1] > score[3] > score[2]
 
 
+def test_context_decides_about_added_kinds(frame):
+    """A valid account number sinks among serial numbers, a bare group of digits rises near its name."""
+    iban, ssn = "DE89370400440532013000", "123-45-6789"
+    given = [(1, f"iban {iban}"), (2, iban), (3, f"serial {iban}"), (4, f"serial of this account {iban}"), (5, ssn), (6, f"social {ssn}"), (7, f"{ssn} was the tax id"), (8, f"order social {ssn}")]
+    found = {r["doc_id"]: [(s["kind"], round(s["score"], 2)) for s in r["spans"]] for r in pii.find(frame(given)).collect()}
+    assert found == {1: [("iban", 0.95)], 2: [("iban", 0.7)], 3: [], 4: [("iban", 0.7)], 5: [], 6: [("ssn", 0.55)], 7: [("ssn", 0.55)], 8: []}
+
+
+def test_scores_are_returned(spark, frame, monkeypatch):
+    monkeypatch.setattr("seepline.llm.queries.read", lambda *_: frame([(1, "card 4012888888881881, order 4012888888881881 a@b.co"), (2, None)]))
+    got = {r["doc_id"]: (r["spans"], r["scores"]) for r in op4(spark, "").collect()}
+    assert got == {1: ("card:5:21,card:29:45,email:46:52", "0.95,0.45,0.90"), 2: ("", "")}
+
+
 def test_empty_table(frame):
     assert pii.find(frame([(1, "a")]).limit(0)).count() == 0
