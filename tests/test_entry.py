@@ -24,3 +24,23 @@ def test_without_the_text_operators(tmp_path):
         shutil.copytree(f"{ROOT}/{name}", tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
     assert shown(str(tmp_path))[1:] == ["True", "True", "False"]
+
+
+def test_an_empty_folder_is_no_package(tmp_path):
+    for name in ("seepline", "suite"):
+        shutil.copytree(f"{ROOT}/{name}", tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    (tmp_path / "seepline" / "llm").mkdir()
+    shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
+    assert shown(str(tmp_path))[1:] == ["True", "True", "False"]
+
+
+def test_a_broken_import_is_an_error(tmp_path):
+    for name in ("seepline", "suite"):
+        shutil.copytree(f"{ROOT}/{name}", tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    (tmp_path / "seepline" / "llm").mkdir()
+    (tmp_path / "seepline" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "seepline" / "llm" / "queries.py").write_text("import nothing_of_this_name\n")
+    (tmp_path / "corpus_pipeline.py").write_text("")
+    shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
+    run = subprocess.run([sys.executable, "-B", "-c", SHOW], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, timeout=120)
+    assert run.returncode != 0 and "nothing_of_this_name" in run.stderr
