@@ -54,6 +54,29 @@ def test_bitmaps_and_texts(frame, prose):
     assert got == want
 
 
+def test_only_the_first_line_of_the_kept_document(frame):
+    line = "a line that stands more than once"
+    docs = frame([(1, f"{line}\nown words of this document"), (2, line), (9, f"head\n{line}\n{line.upper()}\ntail\n{line}")])
+    out = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs, only_first=True).collect()}
+    assert out == {1: "own words of this document", 2: "", 9: f"head\n{line}\ntail"}
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()}[9].count("\n") == 4
+
+
+def test_smallest_and_largest_ids(frame):
+    line = "a line that three documents hold"
+    docs = frame([(-(2**63), line), (2**63 - 1, line), (0, line)])
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()} == {-(2**63): "", 0: "", 2**63 - 1: line}
+
+
+def test_occurrences_are_streamed(frame, prose):
+    """Sorted rows are aggregated in their order: no hash table of lines, no second sort."""
+    lines = frame(rows(prose)).where("doc_id IS NOT NULL").selectExpr("doc_id", "text AS key", "struct(n_chars) AS at")
+    _, firsts = linededup.first_occurrences(lines)
+    plan = firsts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("SortAggregate") == 2 and "HashAggregate" not in plan
+    assert plan.count("Sort [") == 1 and plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan and "Python" not in plan
+
+
 def test_empty_table(frame):
     docs = frame([(1, "a")]).limit(0)
     assert linededup.dedup_lines(docs).count() == 0
