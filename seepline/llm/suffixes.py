@@ -26,6 +26,7 @@ their own, so that their strings repeat.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,9 @@ GRAM = 32
 _PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 #: different contexts of one anchor that a bucket takes
-HOT_CONTEXTS = 16_384
+HOT_CONTEXTS = 512
+#: suffixes of a bucket, on average, where they are range-partitioned one by one
+BUCKET_SUFFIXES = 500_000
 #: suffixes that a bucket orders at a time, or those of one anchor
 _AT_ONCE = 1_000_000
 # a run is packed into a long: its start, how far its anchor is from it, its number of starts
@@ -326,9 +329,12 @@ def _bucket_task(batches):
         )
 
 
-def repeated_strings(suffixes: DataFrame) -> DataFrame:
-    """``anchor, context, offset`` of the strings with an equal elsewhere among ``suffixes``."""
-    buckets = int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def repeated_strings(suffixes: DataFrame, total: int) -> DataFrame:
+    """``anchor, context, offset`` of the strings with an equal elsewhere among ``suffixes``.
+
+    There are ``total`` of them; the buckets grow with that number, so that a bucket does not.
+    """
+    buckets = max(1, math.ceil(total / BUCKET_SUFFIXES))
     ranged = suffixes.repartitionByRange(buckets, "lead", "digest", "anchor", "context", "offset")
     found = checkpointed(ranged.mapInArrow(_bucket_task, _BUCKET))
     # two rows per bucket: the strings at its ends
@@ -370,8 +376,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     contexts = mixed.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_hash", "run")).alias("at"))
     contexts = written(contexts, "contexts")
     rows = keyed(docs)
-    hot = checkpointed(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS).select("anchor"))
-    some_hot = not hot.isEmpty()
+    starts = F.col("at.run").bitwiseAND(F.lit(_MASK))
+    sizes = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(starts).alias("starts"))
+    hot = checkpointed(sizes.where(F.col("n") > HOT_CONTEXTS).select("anchor", "starts"))
+    some_hot = hot.agg(F.sum("starts")).first()[0]
     usual = contexts.join(hot, "anchor", "left_anti") if some_hot else contexts
     held = _holding(rows, usual).mapInArrow(_context_task(length), "lead long, anchor long, context long, bytes binary")
     ranged = held.repartitionByRange("lead", "anchor").sortWithinPartitions("lead", "anchor", "context")
@@ -379,7 +387,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     if some_hot:
         suffixes = _holding(rows, contexts.join(hot, "anchor", "left_semi"))
         suffixes = suffixes.mapInArrow(_batched(_suffix_task(length)), "lead long, digest long, anchor long, context long, offset int")
-        many = repeated_strings(suffixes).groupBy("anchor", "context").agg(F.collect_list(F.shiftleft("offset", _FIELD) + 1).alias("offsets"))
+        many = repeated_strings(suffixes, some_hot).groupBy("anchor", "context").agg(F.collect_list(F.shiftleft("offset", _FIELD) + 1).alias("offsets"))
         strings = strings.unionByName(many)
     # of a context that occurs more than once every string repeats; of others there is one
     # run each, and its strings are those found in the buckets
