@@ -107,7 +107,9 @@ def _sample(docs: DataFrame, labels: DataFrame, max_positives: int, max_unlabell
     p = rows.join(F.broadcast(p_ids), "doc_id").select("doc_id", "text", F.lit(1).alias("p"))
     other = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(grain))
     u = rows.where(other < F.lit(int(grain * min(1.0, max_unlabelled / max(total, 1))))).select("doc_id", "text", F.lit(0).alias("p"))
-    return p.unionByName(u), prior
+    # one text for each id drawn, so that an id with very many rows is one row of the sample
+    one = p.unionByName(u).groupBy("p", "doc_id").agg(F.max("text").alias("text"))
+    return one.select("doc_id", "text", "p"), prior
 
 
 def _counted(batches):
@@ -154,6 +156,7 @@ def train(
 ) -> Model:
     """Fit on at most about ``max_positives`` and ``max_unlabelled`` texts that are not held out.
 
+    Of rows that repeat a ``doc_id`` the text that sorts last is learned from.
     Without a confirmed toxic text, or without text at all, the model gives 0 to everything.
     The driver gets ``features`` names and one list of feature numbers per sampled text.
     """

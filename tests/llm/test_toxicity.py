@@ -34,6 +34,14 @@ def test_reject_keeps_columns_and_clean_rows(labelled):
     assert len(ids & bad) <= 3 and len(ids) >= 900 - len(bad) - 8
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark, frame):
+    docs = frame([(1, "some words"), (2, "vilenik"), (2, "a"), (2, None)]).unionByName(frame([(7, f"words {i}") for i in range(3000)]))
+    labels = spark.createDataFrame([(2, 1, 1), (7, 1, 0)], "doc_id long, quality int, toxic int")
+    sample, _ = toxicity._sample(toxicity.texts(docs), labels, 100, 10_000)
+    got = [(r["p"], r["doc_id"], r["text"]) for r in sample.collect()]
+    assert len(got) == len({g[:2] for g in got}) and (1, 2, "vilenik") in got
+
+
 def test_risk_is_not_negative(labelled):
     rng = np.random.default_rng(0)
     x_p, x_u = (rng.random((200, 300)) < 0.1).astype(np.float32), (rng.random((200, 300)) < 0.1).astype(np.float32)
