@@ -41,7 +41,9 @@ def first_occurrences(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``h1, h2, back, at`` in sorted range partitions, and of each hash and document the first
     ``at`` with the number of ``lines``. ``back`` is the complement of ``doc_id``, so that the
     largest document comes first."""
-    hashed = lines.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), F.bitwise_not("doc_id").alias("back"), "at")
+    # no NULL is left in doc_id; a column that cannot be NULL gets no filter of its own from a join
+    back = F.coalesce(F.bitwise_not("doc_id"), F.lit(0).cast("long"))
+    hashed = lines.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), back.alias("back"), "at")
     ranged = hashed.repartitionByRange("h1", "h2", "back").sortWithinPartitions("h1", "h2", "back", "at")
     # "first" keeps the order of the rows below it, and a struct is aggregated by sorting only:
     # the rows are sorted already, so nothing is hashed or sorted again
