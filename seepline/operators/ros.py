@@ -274,15 +274,17 @@ def ros_plot_pos(
 def _in_order(t: _Tally, censored_rows: DataFrame) -> DataFrame:
     """Give the group's censored positions, in ascending order, to its censored values.
 
-    Both sides are numbered and joined on the number, which no group can overload.
+    Both sides are numbered and joined on the number, which no group can overload. Each has a
+    row for every censored measurement, written out from far fewer tallied ones; the planner
+    sees the size of the tally, so the join says by itself that neither side is small.
     """
-    numbered = censored_rows.withColumn("_place", F.col("_c_before") + F.col("rank"))
+    numbered = censored_rows.select(*t.keys, "_v", "_c", (F.col("_c_before") + F.col("rank")).alias("_place"), "plot_pos")
     positions = numbered.select(*t.keys, F.col("plot_pos"))
     positions, groups = order_groups(positions, t.keys, "plot_pos")
     positions = groups.add(
         positions, [F.col("plot_pos").asc()], running={"_place": ("sum", F.lit(1).cast("long"))}
     ).select(*t.keys, "_place", "plot_pos")
-    return join_on(numbered.drop("plot_pos"), positions, t.keys + ["_place"], "inner")
+    return join_on(numbered.drop("plot_pos"), positions.hint("merge"), t.keys + ["_place"], "inner")
 
 
 def ros_sort_nd(
