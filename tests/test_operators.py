@@ -161,3 +161,46 @@ def test_radius_near_the_date_line(spark):
     assert {r["locationid"] for r in near.collect()} == {"a", "b"}
     assert {r["locationid"] for r in filters.portal_radius(rows, 30, "mi", 89.95, -170.0).collect()} == {"d"}
     assert {r["locationid"] for r in filters.portal_radius(rows, 30, "mi", 0.0, 170.1).collect()} == {"c"}
+
+
+def test_a_pivot_makes_one_row_of_a_sample_before_it_moves_any(spark, monkeypatch):
+    names = ["Calcium", " Calcium", "Calcium ", "Chloride", "Total Organic Carbon", "Alkalinity", "Alkalinity, total", "unknown", None]
+    data = [
+        (f"s{i % 40}", None if i % 13 == 0 else f"l{i % 3 if i % 40 > 30 else 1}", None if i % 17 == 0 else f"d{i % 5 if i % 40 > 20 else 2}",
+         names[(i * 7 + i // 40) % 9], None if i % 5 == 0 else float(i * 37 % 11), "Not Detected" if i % 29 == 0 else None)
+        for i in range(600)
+    ]
+    df = spark.createDataFrame(data, "sampleid string, monitoringlocationid string, sampledate string, characteristicname string, resultvalue double, resultdetectioncondition string")
+    wide = reshape.pivot_samples(df, "")
+    assert "SortAggregate" not in plan(wide)
+    got = rows(wide)
+    assert len(got) == 40
+    first = {}
+    for s, place, date, name, value, condition in data:
+        if condition is None:
+            key = tuple((x is None, x or 0) for x in (place, date, name, value))
+            symbol = reshape.vocab.PARAMETER_SYMBOLS.get((name or "").strip(), "")
+            first[s, symbol] = min(first.get((s, symbol), (key, value)), (key, value))
+    symbols = reshape.vocab.SYMBOLS
+    assert {(r["sampleid"], s): r[s] for r in wide.collect() for s in symbols if r[s] is not None} == {k: v for k, (_, v) in first.items() if k[1] and v is not None}
+    # as many names as one likes
+    monkeypatch.setattr(reshape, "NAMES_AT_ONCE", 2)
+    assert rows(reshape.pivot_samples(df, "")) == got
+    assert reshape.pivot_samples(df.where("characteristicname = 'unknown'"), "").count() == len({r[0] for r in data if r[3] == "unknown" and r[5] is None})
+
+
+def test_laboratory_texts_are_read_before_the_lookups_move_rows(spark):
+    from seepline.plans import lab
+
+    headers = ["Sample Number", "Sample Date", "Sample Time", "Sample Description", "Collector", "Method Agency", "Method ID", "Matrix Description",
+               "Result Value", "Lower Report Limit", "Method Detect Limit", "Units", "Analysis Date", "Param Description", "Problem Identifier", "Result Code"]
+    sheet = spark.createDataFrame([("a", "2020-01-02 00:00:00", "9:30", "x", None, "SM", "1", "Water", "1.5", "1", "1", "MG-L", "2020-01-03 00:00:00", "Chloride", None, None)], ", ".join(f"`{h}` string" for h in headers))
+    domain = spark.createDataFrame([("Chloride", "Inorganics")], "REGISTRY_NAME string, CHARACTERISTIC_GROUP_TYPE string")
+    stations = spark.createDataFrame([("7", "Bryce")], "locationid string, qwnetworkname string")
+    matches = spark.createDataFrame([("a", 7.0)], "`Sample Number` string, `Station ID` double")
+    got = lab.state_lab_job(sheet, domain, stations, matches)
+    row = got.first()
+    assert (str(row["activitystartdate"]), row["resultvalue"], row["resultsamplefraction"], row["monitoringlocationid"]) == ("2020-01-02", 1.5, "Total", "7")
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = lines[max(i for i, line in enumerate(lines) if "Join " in line) :]
+    assert any("AS Sample Date#" in line for line in below)
