@@ -291,3 +291,12 @@ def test_an_answer_that_would_lose_an_element_stops(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"features": [{"attributes": {"NAME": "attributes", "N": 1}}]}')
     with pytest.raises(Exception, match="equal to .attributes."):
         readers.read_features(spark, str(tmp_path), "NAME STRING, N INT").collect()
+
+
+def test_buckets_grow_in_number_and_not_in_size(spark, tmp_path):
+    df = spark.range(1000).selectExpr("concat('S', id % 500) AS sampleid", "id AS n")
+    many = buckets.land_samples(df, "test_many", str(tmp_path / "many"), buckets=4, rows_per_bucket=100)
+    same = buckets.land_samples(df, "test_same", str(tmp_path / "same"), buckets=4, rows_per_bucket=None)
+    few = buckets.land_samples(df, "test_few", str(tmp_path / "few"), buckets=4)
+    assert [len(list((tmp_path / n).glob("*.parquet"))) for n in ("many", "same", "few")] == [16, 4, 4]
+    assert rows(many) == rows(same) == rows(few) and many.count() == 1000
