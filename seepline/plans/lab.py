@@ -59,20 +59,25 @@ def state_lab_job(
     Stations come from the list of sample numbers when one is given, else from the
     description rules. ``stations`` needs ``locationid`` and ``qwnetworkname``.
     """
+    # what gets shorter does so before the lookups move the rows, the rest after them
+    rows = lab.withColumns(
+        {
+            "Matrix Description": values.state_sample_fraction(F.col("Matrix Description")),
+            "Sample Date": values.date_before_blank(F.col("Sample Date")),
+            "Analysis Date": values.date_before_blank(F.col("Analysis Date")),
+            "Result Value": values.parse_number(F.col("Result Value")),
+        }
+    )
     if matches is not None:
-        rows = joins.sample_station_lookup(lab, matches)
+        rows = joins.sample_station_lookup(rows, matches)
     else:
-        rows = joins.match_stations(lab, corrected=corrected)
+        rows = joins.match_stations(rows, corrected=corrected)
     rows = joins.project_code(rows, stations, "Station ID")
     rows = rows.withColumns(
         {
-            "Matrix Description": values.state_sample_fraction(F.col("Matrix Description")),
             "resultdetectioncondition": values.state_detection(F.col("Problem Identifier"), F.col("Result Code")),
-            "Sample Date": values.date_before_blank(F.col("Sample Date")),
-            "Analysis Date": values.date_before_blank(F.col("Analysis Date")),
             "Units": values.normalize_lab_unit(F.col("Units"), "state"),
             "Method Agency": values.method_context(F.col("Method Agency")),
-            "Result Value": values.parse_number(F.col("Result Value")),
             "_species": species.state_speciation(F.col("Param Description"), corrected),
         }
     )
