@@ -14,9 +14,10 @@ Documents with equal shingle sets are one class from the start. Each class is po
 Pairs above the match threshold pass one more bound before sets are fetched: a parity sketch,
 one bit or less per shingle, whose differing bits never exceed the shingles in which two sets
 differ. Links are confirmed on whole sets, in two rounds. The first takes only a spanning forest
-of the likely pairs from blocks of each list, so that a large group of near copies gives about
-as many rows as it has members. The second takes every pair above the threshold whose members
-are still apart; lists whose members are all joined take no part. No pair is left out.
+of the pairs within that bound from blocks of each list, likely ones first, so that a large group
+of near copies gives about as many rows as it has members. The second takes every pair within the
+bound whose members are still in different components, once, from the first list they share;
+lists whose members are all joined take no part. No pair is left out.
 """
 
 from __future__ import annotations
@@ -142,13 +143,17 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def posted(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """``tok, cls``: the lists under which a class may meet its partners."""
+    """``tok, cls, posts``: the lists under which a class may meet its partners, and a bit for the
+    coordinate of each of them."""
     pairs = classes.select("cls", F.posexplode("sig").alias("at", "value"))
     pairs = pairs.select("cls", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit((1 << 32) - 1))).alias("tok"))
     shared = pairs.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     order = F.sort_array(F.collect_list(F.struct("df", "tok")))
     rare = pairs.join(shared, "tok").groupBy("cls").agg(order.alias("toks")).where(F.size("toks") >= matches)
-    return rare.select("cls", F.explode(F.slice("toks", F.lit(1), F.size("toks") - matches + 1)).alias("t")).select("t.tok", "cls")
+    rare = rare.select("cls", F.slice("toks.tok", F.lit(1), F.size("toks") - matches + 1).alias("toks"))
+    bit = F.expr("transform(toks, t -> shiftleft(1L, cast(shiftright(t, 32) AS int)))")
+    posts = F.aggregate(bit, F.lit(0).cast("long"), lambda held, b: held.bitwiseOR(b))
+    return rare.select("cls", posts.alias("posts"), F.explode("toks").alias("tok")).select("tok", "cls", "posts")
 
 
 class Tile:
@@ -159,6 +164,8 @@ class Tile:
         self.cls, self.n = table.column("cls").to_numpy(), table.column("n").to_numpy()
         self.sig = table.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, PERMS)
         self.comp, self.side = table.column("comp").to_numpy().copy(), table.column("side").to_numpy()
+        self.at = table.column("tok")[0].as_py() >> 32
+        self.posts = (table.column("posts").to_numpy()[:, None] >> np.arange(PERMS)) & 1 > 0
         held = [np.frombuffer(s, np.uint64) for s in table.column("sketch").to_pylist()]
         self.words = np.array([len(s) for s in held])
         self.place = np.zeros(len(held), np.int64)
@@ -179,9 +186,10 @@ class Tile:
         return out
 
     def pairs(self, whole: bool, likely: bool, matches: int, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of members apart that reach ``matches``. ``whole``: of all members, else of
-        different sides. ``likely``: only a forest of those that are surely near."""
-        found = []
+        """Pairs of members apart that reach ``matches`` and the bound of the sketches. ``whole``:
+        of all members, else of different sides. ``likely``: only a forest of them, first those
+        that are surely near; else all for which this is the first list that holds both."""
+        found, rest = [], []
         n = len(self.n)
         last = np.searchsorted(self.n, self.n * 100 // percent, "right")
         for i in range(n - 1):
@@ -190,21 +198,39 @@ class Tile:
             js = js[apart if whole else apart & (self.side[js] != self.side[i])]
             if not len(js):
                 continue
-            js = js[(self.sig[js] == self.sig[i]).sum(axis=1) >= matches]
+            same = self.sig[js] == self.sig[i]
+            enough = same.sum(axis=1) >= matches
+            js, same = js[enough], same[enough]
+            if not likely:
+                js = js[(same & self.posts[i] & self.posts[js]).argmax(axis=1) == self.at]
             if not len(js):
                 continue
             most = (100 - percent) * (self.n[i] + self.n[js]) // (100 + percent)
             odd = self.odd(i, js)
             if likely:
                 bits = 64 * self.words[i]
-                js = js[-bits / 2 * np.log1p(-np.minimum(2 * odd / bits, 0.999)) <= 0.9 * most]
-                comps, first = np.unique(self.comp[js], return_index=True)
-                js = js[first]
-                self.comp[np.isin(self.comp, comps)] = self.comp[i]
+                differ = -bits / 2 * np.log1p(-np.minimum(2 * odd / bits, 0.999)) / np.maximum(most, 1)
+                near = differ <= 0.9
+                found.append(self.joined(i, js[near], differ[near]))
+                unsure = ~near & (odd <= most)
+                if unsure.any():
+                    rest.append((i, js[unsure], differ[unsure]))
             else:
                 js = js[odd <= most]
-            found.append((np.full(len(js), i), js))
-        return found
+                found.append((np.full(len(js), i), js))
+        # what is unsure is tried only where nothing surer joins it
+        found += [self.joined(i, js, differ) for i, js, differ in rest]
+        return [f for f in found if len(f[0])]
+
+    def joined(self, i: int, js: np.ndarray, differ: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each component among ``js`` that ``i`` is not in, the member that differs least;
+        all of them are one component from then on."""
+        js = js[np.argsort(differ, kind="stable")]
+        js = js[self.comp[js] != self.comp[i]]
+        comps, first = np.unique(self.comp[js], return_index=True)
+        if len(comps):
+            self.comp[np.isin(self.comp, comps)] = self.comp[i]
+        return np.full(len(first), i), js[first]
 
 
 def _tile_task(likely: bool, matches: int, percent: int):
@@ -242,7 +268,7 @@ def _pairs_of(table: pa.Table, likely: bool, matches: int, percent: int):
 
 def _tiles(rows: DataFrame, likely: bool, matches: int, percent: int) -> DataFrame:
     key = ["tok", "kind", "i", "j"]
-    rows = rows.select(*key, "side", "cls", "n", "sig", "sketch", "comp")
+    rows = rows.select(*key, "side", "cls", "n", "sig", "sketch", "posts", "comp")
     dealt = rows.repartition(*key).sortWithinPartitions(*key)
     return dealt.mapInArrow(_tile_task(likely, matches, percent), "a long, b long").distinct()
 
@@ -281,7 +307,7 @@ def _apart(lists: DataFrame, matches: int, percent: int) -> DataFrame:
         F.transform(upto(large), lambda y: tile(1, F.col("block"), y, zero)),
     )
     rows = lists.join(stats, "tok").withColumn("block", block).withColumn("tile", F.explode(F.when(is_top, of_top).otherwise(of_rest)))
-    return _tiles(rows.select("tok", "tile.*", "cls", "n", "sig", "sketch", "comp"), False, matches, percent)
+    return _tiles(rows.select("tok", "tile.*", "cls", "n", "sig", "sketch", "posts", "comp"), False, matches, percent)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -335,17 +361,6 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     return checkpointed(rows.mapInArrow(_confirm_task(percent), "a long, b long"))
 
 
-def _labels(links: DataFrame, steps: int = 2) -> DataFrame:
-    """``cls, comp``: the least class within a few links of each linked one. Equal labels are
-    joined; joined ones may differ, which costs the second round a comparison and no more."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    label = both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp"))
-    for _ in range(steps):
-        near = both.join(label.select(F.col("a").alias("b"), "comp"), "b")
-        label = near.groupBy("a").agg(F.least("a", F.min("comp")).alias("comp"))
-    return label.withColumnRenamed("a", "cls")
-
-
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row: the number of distinct shingles,
     the smallest ``doc_id`` that links reach, and whether it is the row's own.
@@ -362,10 +377,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, matches: int = MATC
     classes = written(grouped.withColumn("cls", F.monotonically_increasing_id()), "classes")
     lists = written(posted(classes, matches).join(classes.select("cls", "n", "sig", "sketch"), "cls"), "lists")
 
-    first = confirmed(docs, classes, _forest(lists, matches, percent), percent)
-    apart = lists.join(checkpointed(_labels(first)), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    first = confirmed(docs, classes, checkpointed(_forest(lists, matches, percent)), percent)
+    # whole components: members of one that had different labels would be compared pair by pair
+    hung = checkpointed(components(first))
+    apart = lists.join(hung.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     more = confirmed(docs, classes, checkpointed(_apart(apart, matches, percent)), percent)
-    joined = components(first.unionByName(more))
+    joined = components(hung.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     whole = classes.join(joined, classes["cls"] == joined["node"], "left").select("digest", "rep", F.coalesce("component", "cls").alias("component"))
     least = whole.groupBy("component").agg(F.min("rep").alias("component_id"))
     answer = whole.join(least, "component").select("digest", "component_id", F.lit(True).alias("met"))

@@ -2,6 +2,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from seepline.llm import minhash
@@ -78,6 +79,27 @@ def test_second_round_is_complete(frame, monkeypatch, near):
     assert got(minhash.near_duplicates(frame(near))) == plain(near)
 
 
+def test_rows_of_a_large_group():
+    """Copies that all differ by just less than the bound: the first round gives a forest of
+    them, and lists that share a pair give it once in the second."""
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
+    sets = [np.unique(np.r_[np.delete(base, np.s_[15 * k : 15 * k + 15]), rng.integers(0, 1 << 63, 15, dtype=np.uint64)]) for k in range(26)]
+    n = len(sets)
+
+    def rows(at, likely):
+        table = pa.table(
+            {c: pa.array([at << 32 if c == "tok" else 0] * n, pa.int64()) for c in ("tok", "kind", "i", "j", "side")}
+            | {"cls": range(n), "comp": range(n), "n": [len(s) for s in sets], "posts": [(1 << minhash.PERMS) - 1] * n}
+            | {"sig": [minhash.signature(s).view(np.int32) for s in sets], "sketch": [minhash.sketch(s).tobytes() for s in sets]}
+        )
+        return [p for b in minhash._pairs_of(table, likely, minhash.MATCHES, minhash.PERCENT) for p in zip(*b.to_pydict().values(), strict=True)]
+
+    assert len(rows(0, True)) == n - 1
+    met = [frozenset(p) for at in range(minhash.PERMS) for p in rows(at, False)]
+    assert len(met) == len(set(met)) == n * (n - 1) // 2
+
+
 def test_odd_rows(frame, prose, monkeypatch):
     monkeypatch.setattr(minhash, "PIECE", 50)
     long = prose(1, 20_000)
