@@ -165,8 +165,8 @@ def pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int
         for part in slices(batches):
             rows: dict[str, list] = {k: [] for k in ("doc_id", "text_hash", "piece", "start", "length", "ids_crc32")}
             ids = []
-            for doc, mark, text in zip(part["doc_id"], part["text_hash"], part["text"], strict=True):
-                raw = encode(text) + int(end).to_bytes(4, "little")
+            for doc, mark, raw in zip(part["doc_id"], part["text_hash"], encode.batch(part["text"]), strict=True):
+                raw += int(end).to_bytes(4, "little")
                 total = len(raw) // 4
                 at, k = 0, 0
                 while at < total:

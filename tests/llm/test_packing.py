@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from seepline.llm import packing
+from seepline.llm import packing, tokens
 from seepline.llm.tokens import PieceEncoder
 
 
@@ -115,6 +115,21 @@ def test_ids_equal_the_tokenizer():
         assert list(struct.unpack(f"<{len(raw) // 4}I", raw)) == reference.encode(text, add_special_tokens=False).ids, text
 
 
+def test_ids_of_a_batch(monkeypatch):
+    """Words end with their text, and frequent ones are not encoded again when the cache turns."""
+    monkeypatch.setattr(tokens, "_CACHED", 8)
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    reference.encode_special_tokens = True
+    encode, rng, met = PieceEncoder("byte_bpe_50k.json"), random.Random(5), []
+    texts = [*TEXTS, *["".join(rng.choices("ab é'strelvmd\n\t 19", k=rng.randrange(12))) for _ in range(500)]]
+    for text, raw in zip(texts, encode.batch(texts), strict=True):
+        assert list(struct.unpack(f"<{len(raw) // 4}I", raw)) == reference.encode(text, add_special_tokens=False).ids, text
+    monkeypatch.setattr(encode, "model", type("Model", (), {"tokenize": lambda _, w, own=encode.model: met.append(w) or own.tokenize(w)})())
+    for i in range(40):
+        encode.batch(["often"]), encode.batch([f"word{i}"])
+    assert met.count("often") == 1
+
+
 @pytest.mark.parametrize("rank_rows", [100_000, 2])
 def test_pack(frame, prose, monkeypatch, rank_rows):
     monkeypatch.setattr(packing, "RANK_ROWS", rank_rows)
