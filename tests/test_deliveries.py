@@ -84,3 +84,24 @@ def test_a_tied_group_is_written_out_by_many_tasks(spark, tmp_path, monkeypatch)
         held.add(spark.createDataFrame(part, SCHEMA), name)
     assert held.tallies.read().count() == 3 and held.read().count() == len(tied)
     assert rows(held.read()) == rows(ros.ros_impute(spark.createDataFrame(tied, SCHEMA), "result", "censorship", KEYS.names))
+
+
+def test_deliveries_send_no_side_of_the_places_whole(spark, tmp_path, monkeypatch):
+    # the tallies are a few rows that stand for many: the planner takes both sides of the join for small
+    made, plain = [], ros.impute_tally
+
+    def kept(*a, **k):
+        made.append(plain(*a, **k))
+        return made[-1]
+
+    monkeypatch.setattr(ros, "impute_tally", kept)
+    held = store(spark, tmp_path)
+    tied = [("A", chem, v, v <= 30 and i % 3 == 0, "x") for chem in range(2) for v in (10.0, 20.0, 30.0, 40.0, 50.0) for i in range(3000)]
+    for name, part in (("a", tied[::2]), ("b", tied[1::2])):
+        held.add(spark.createDataFrame(part, SCHEMA), name)
+    assert held.read().count() == len(tied) and [df.count() for df in made] == [len(tied) // 2, len(tied)]
+    for df in made:
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line and "_place" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
